@@ -72,3 +72,30 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 def space_mask(data: np.ndarray) -> np.ndarray:
     """Where the separators of words are."""
     return (data == 0x20) | ((data >= 0x09) & (data <= 0x0D))
+
+
+class Words:
+    """The words of a run of texts, each followed by one space in `data`.
+
+    starts, ends: of each word in data; counts: words of each text; first: index of each text's first word.
+    """
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False):
+        data = np.insert(data, offsets[1:], 0x20)
+        stops = offsets[1:] + np.arange(1, len(offsets))
+        gap = space_mask(data)
+        keep = ~gap
+        keep[1:] |= ~gap[:-1]
+        if len(keep):
+            keep[0] = not gap[0]
+        is_end = gap & keep
+        data[is_end] = 0x20
+        if lower:
+            upper = (data >= 0x41) & (data <= 0x5A)
+            data[upper] += 0x20
+        before = np.concatenate([[0], np.cumsum(is_end)])[stops]
+        self.counts = np.diff(np.concatenate([[0], before]))
+        self.first = before - self.counts
+        self.data = data[keep]
+        self.ends = np.flatnonzero(self.data == 0x20)
+        self.starts = np.concatenate([[0], self.ends[:-1] + 1]).astype(np.int64) if len(self.ends) else self.ends
