@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinfold.llm import bpe, simhash, toxicity
+from kinfold.llm import bpe, quality, simhash, sql, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
@@ -32,10 +37,11 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_toxicity": op3_toxicity,
+        "op4_quality": op4_quality,
         "op8_simhash": op8_simhash,
         "op9_bpe": op9_bpe,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return sql.oracle_sql()
