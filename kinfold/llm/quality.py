@@ -33,6 +33,9 @@ RULES: dict[str, tuple[str, tuple[float, ...]]] = {
     "shouts": ("n_shouts / greatest(word_chars, 1)", (0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.7)),
 }
 
+#: Cutoffs of at most this many strata are broadcast.
+MOST_STRATA_SENT = 10_000
+
 
 @dataclass(frozen=True)
 class QualityOptions:
@@ -127,5 +130,8 @@ def judge(docs: DataFrame, labels: DataFrame, options: QualityOptions = QualityO
     above = F.lit(False)
     for rule in RULES:
         above = above | F.coalesce(_ratio(rule) > F.col(f"cut_{rule}"), F.lit(False))
+    # one row a stratum; many strata take the shuffled join instead
+    cutoffs = cut_lineage(cutoffs)
+    cutoffs = F.broadcast(cutoffs) if cutoffs.count() <= MOST_STRATA_SENT else cutoffs
     judged = measured.withColumn("stratum", _stratum(F.col("lang"))).join(cutoffs, "stratum", "left")
     return judged.select(*measured.columns, base.alias("base_failed"), (~base & ~above).alias("kept"))
