@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kinfold.llm import quality
+from kinfold.llm import licenses, quality
 
 
 def _quality() -> str:
@@ -52,5 +52,60 @@ FROM m LEFT JOIN cut USING (stratum)
 """
 
 
+TOKEN_COUNTS = r"""
+SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS n_tokens FROM documents
+"""
+
+TOP_K = """
+WITH v AS (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.rid AS rid, q.vec_id AS query_id, c.vec_id AS vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v q JOIN v c ON q.rid <> c.rid AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0
+), r AS (
+  SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+def _licenses() -> str:
+    quote = lambda t: "'" + t.replace("'", "''") + "'"
+    values = ", ".join(f"({k}, {quote(name)}, {quote(text)})" for k, (name, text) in enumerate(licenses.TEMPLATES))
+    return rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents
+), p AS (
+  SELECT rid, 'line' AS kind, unnest(string_split(text, chr(10))) AS passage, generate_subscripts(string_split(text, chr(10)), 1) AS k FROM d
+  UNION ALL
+  SELECT * FROM (SELECT rid, 'part' AS kind, unnest(string_split_regex(text, '\n[\x20\x09-\x0D]*\n')) AS passage, generate_subscripts(string_split_regex(text, '\n[\x20\x09-\x0D]*\n'), 1) AS k FROM d) WHERE contains(passage, chr(10))
+  UNION ALL
+  SELECT rid, 'text', text, 1 FROM d WHERE contains(text, chr(10))
+), t(tid, name, text) AS (VALUES {values}
+), w AS (
+  SELECT rid, kind, k, regexp_extract_all(lower(passage), '[0-9a-z]+') AS words FROM p
+), b AS (
+  SELECT DISTINCT rid, kind, k, unnest(list_zip(words[1:len(words) - 1], words[2:])) AS pair FROM w WHERE len(words) > 1
+), tw AS (
+  SELECT tid, name, regexp_extract_all(lower(text), '[0-9a-z]+') AS words FROM t
+), tb AS (
+  SELECT DISTINCT tid, name, unnest(list_zip(words[1:len(words) - 1], words[2:])) AS pair FROM tw
+), tn AS (SELECT tid, count(*) AS n FROM tb GROUP BY tid
+), bn AS (SELECT rid, kind, k, count(*) AS n FROM b GROUP BY rid, kind, k
+), s AS (
+  SELECT rid, kind, k, tid, name, count(*) AS shared FROM b JOIN tb USING (pair) GROUP BY rid, kind, k, tid, name
+), m AS (
+  SELECT rid, kind, k, name, 2 * shared / (bn.n + tn.n) AS dice FROM s JOIN bn USING (rid, kind, k) JOIN tn USING (tid)
+), g AS (
+  SELECT rid, name, dice, row_number() OVER (PARTITION BY rid ORDER BY dice DESC, name) AS r FROM m WHERE dice >= {licenses.LEAST}
+), l AS (
+  SELECT rid, count(DISTINCT k) AS n_lines FROM m WHERE kind = 'line' AND dice >= {licenses.LEAST} GROUP BY rid
+)
+SELECT doc_id, name AS license, coalesce(dice, 0.0)::DOUBLE AS dice, coalesce(n_lines, 0)::BIGINT AS n_lines
+FROM d LEFT JOIN (SELECT * FROM g WHERE r = 1) g USING (rid) LEFT JOIN l USING (rid)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_quality": _quality()}
+    return {"op2_token_counts": TOKEN_COUNTS, "op4_quality": _quality(), "op7_kdtree": TOP_K, "op10_licenses": _licenses()}
