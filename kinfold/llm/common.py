@@ -59,6 +59,16 @@ def utf8_buffer(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndar
     return raw[offs[0] : offs[-1]], offs - offs[0]
 
 
+def text_runs(batch: pa.RecordBatch, column: int, run_bytes: int):
+    """The batch in slices whose texts have about run_bytes together."""
+    _, offsets = utf8_buffer(batch.column(column))
+    a = 0
+    while a < batch.num_rows:
+        b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + run_bytes, "right")) - 1)
+        yield batch.slice(a, b - a)
+        a = b
+
+
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The concatenation of arange(s, s + n) for all s, n."""
     lengths = np.asarray(lengths, np.int64)

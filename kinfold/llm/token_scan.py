@@ -21,11 +21,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from kinfold.llm.common import Words, utf8_buffer
+from kinfold.llm.common import Words, cut_lineage, text_runs, utf8_buffer
 
 #: The end-of-document id of the files that `flat_blocks` makes.
 END = 0xFFFFFFFF
 BLOCK_TOKENS = 1 << 16
+#: Texts are taken in runs of about this many bytes; a longer text is a run of its own.
+RUN_BYTES = 1 << 21
 #: Chunks of a file's blocks whose sums make up the prefix scan's upper level.
 SCAN_WIDTH = 4096
 
@@ -67,9 +69,7 @@ def flat_blocks(docs: DataFrame, text_col: str = "text", block_tokens: int = BLO
     def work(batches):
         held, block, file = [], 0, None
         size = 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (part for whole in batches for part in text_runs(whole, 0, RUN_BYTES)):
             file = batch.column(1)[0].as_py() >> 33 if file is None else file
             data, offsets = utf8_buffer(batch.column(0))
             words = Words(data, offsets)
@@ -150,8 +150,12 @@ def document_lengths(scanned: DataFrame) -> DataFrame:
 
 
 def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (doc_id, n_tokens): the texts written as flat blocks, counted by the scan, matched to their rows by order."""
-    found = document_lengths(scan_blocks(flat_blocks(docs, text_col)))
+    """Rows (doc_id, n_tokens): the texts written as flat blocks, counted by the scan, matched to their rows by order.
+
+    docs must be read from files or a checkpoint, whose rows keep their order from one reading to the next.
+    """
+    # the texts are read once; what the scan keeps of a block is small
+    found = document_lengths(cut_lineage(scan_blocks(flat_blocks(docs, text_col))))
     row = F.monotonically_increasing_id()
     named = docs.select(F.col(id_col).alias("doc_id"), F.shiftright(row, 33).cast("string").alias("file"), row.bitwiseAND(F.lit((1 << 33) - 1)).alias("ordinal"))
     return named.join(found, ["file", "ordinal"]).select("doc_id", "n_tokens")
