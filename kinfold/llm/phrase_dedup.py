@@ -20,14 +20,54 @@ from __future__ import annotations
 
 import ahocorasick
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from kinfold.llm.windows import Block, Exchange, Sent, Shape, covered, find_repeats
+from kinfold.llm.windows import MULTIPLIER, Block, Exchange, Sent, Shape, covered, find_repeats, mixed
 
 WINDOW = 20
 
 
+def _symbols(sent: Sent, rows: np.ndarray, core_id: np.ndarray, reach: int) -> np.ndarray:
+    """A line of symbols for each phrase, its core in column reach - 1; 0 where the phrase has no word."""
+    left, right = sent.left[rows], sent.last[rows] - sent.left[rows] + reach - 1
+    words = (sent.contexts(rows, 0) + b" " + sent.contexts(rows, 1)).split()
+    number = pd.factorize(np.array([*words, None], object)[:-1])[0] + len(rows) + 1
+    lines = np.zeros((len(rows), 2 * reach - 1), np.int64)
+    row = np.repeat(np.arange(len(rows)), left)
+    lines[row, np.arange(len(row)) - np.repeat(np.cumsum(left) - left, left) + (reach - 1 - left)[row]] = number[: len(row)]
+    row = np.repeat(np.arange(len(rows)), right)
+    lines[row, np.arange(len(row)) - np.repeat(np.cumsum(right) - right, right) + reach] = number[len(number) - len(row) :]
+    lines[:, reach - 1] = core_id
+    return lines
+
+
+def _passages(lines: np.ndarray, left: np.ndarray, last: np.ndarray, many: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The candidates: line, first window, and number of further windows of each passage, told apart by hashes.
+
+    Neighbouring windows that the same lines hold make one passage, so that a passage is as long as it recurs.
+    """
+    odd = np.uint64(MULTIPLIER) ** np.arange(lines.shape[1], dtype=np.uint64)
+    sums = np.concatenate([np.zeros((len(lines), 1), np.uint64), np.cumsum(mixed(lines.astype(np.uint64)) * odd, axis=1)], axis=1)
+    sizes = last + 1
+    line = np.repeat(np.arange(len(lines)), sizes)
+    at = np.arange(len(line)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    column = (reach - 1 - left)[line] + at
+    _, window, counts = np.unique(mixed(sums[line, column + reach] - sums[line, column] + column.astype(np.uint64)), return_inverse=True, return_counts=True)
+    order = np.argsort(window, kind="stable")
+    holders = np.add.reduceat(mixed(line.astype(np.uint64) + np.uint64(1))[order], np.cumsum(counts) - counts)[window]
+    recurs = (counts[window] > 1) | many[line]
+    goes_on = np.concatenate([[False], recurs[1:] & recurs[:-1] & (line[1:] == line[:-1]) & (holders[1:] == holders[:-1])])
+    heads = np.flatnonzero(recurs & ~goes_on)
+    run = np.cumsum(recurs & ~goes_on) - 1
+    more = np.bincount(run[recurs], minlength=len(heads)) - 1
+    _, one = np.unique(window[heads], return_index=True)
+    return line[heads[one]], at[heads[one]], more[one]
+
+
 def resolve(sent: Sent, reach: int, core: int) -> tuple[np.ndarray, np.ndarray]:
     """For every phrase, which of its windows recur, and which of those occur first where the phrase stands."""
     order = np.lexsort((sent.place, sent.doc_id, sent.contents, sent.names[:, 1], sent.names[:, 0]))
@@ -37,45 +77,40 @@ def resolve(sent: Sent, reach: int, core: int) -> tuple[np.ndarray, np.ndarray]:
     group[order] = np.cumsum(new) - 1
     one = order[new]  # of equal phrases, the one that stands first
     many = np.bincount(group, sent.copies) > 1
-    core_id = np.cumsum(np.concatenate([[True], (sent.names[one][1:] != sent.names[one][:-1]).any(1)])).tolist()
-    number: dict[bytes, int] = {}
-    base = len(one) + 1  # symbols of words come after those of cores
-    word = lambda w: number.setdefault(w, base + len(number))
-    lines = [(*map(word, sent.left_bytes[r].split()), core_id[k], *map(word, sent.right_bytes[r].split())) for k, r in enumerate(one.tolist())]
-    # confirm: windows that two phrases hold, or one that stands more than once
-    left, last = sent.left[one].tolist(), sent.last[one].tolist()
-    times: dict[tuple, int] = {}
-    for k, line in enumerate(lines):
-        step = 2 if many[k] else 1
-        for at in range(last[k] + 1):
-            passage = line[at : at + reach]
-            times[passage] = times.get(passage, 0) + step
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-    passages = 0
-    for passage, n in times.items():
-        if n > 1:
-            automaton.add_word(passage, passages)
-            passages += 1
-    del times
-    marks = np.zeros((len(one), reach), bool)
-    owned = np.zeros((len(one), reach), bool)
-    if passages:
+    core_id = np.cumsum(np.concatenate([[True], (sent.names[one][1:] != sent.names[one][:-1]).any(1)]))
+    left, last = sent.left[one], sent.last[one]
+    lines = _symbols(sent, one, core_id, reach)
+    line, at, more = _passages(lines, left, last, many, reach)
+    marks = np.zeros((len(one), reach + 1), np.int64)
+    owned = np.zeros((len(one), reach + 1), np.int64)
+    if len(line):
+        begin = (reach - 1 - left)[line] + at
+        automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+        for number, (row, a, b) in enumerate(zip(lines[line].tolist(), begin.tolist(), (begin + reach + more).tolist(), strict=True)):
+            automaton.add_word(tuple(row[a:b]), number)
         automaton.make_automaton()
-        found, sizes = [], []
-        for line in lines:
+        found: list[tuple[int, int]] = []
+        sizes = []
+        for row, a, b in zip(lines.tolist(), (reach - 1 - left).tolist(), (2 * reach - 1 - left + last).tolist(), strict=True):
             before = len(found)
-            found.extend(automaton.iter(line))
+            found.extend(automaton.iter(tuple(row[a:b])))
             sizes.append(len(found) - before)
         hits = np.array(found, np.int64).reshape(-1, 2)
-        row, at, passage = np.repeat(np.arange(len(lines)), sizes), hits[:, 0] - reach + 1, hits[:, 1]
-        marks[row, at] = True
-        doc, place = sent.doc_id[one][row], sent.place[one][row] + at
+        row, passage = np.repeat(np.arange(len(lines)), sizes), hits[:, 1]
+        begin = hits[:, 0] - more[passage] - reach + 1
+        # confirmed: found in two lines, or in one that stands in several places
+        sure = (np.bincount(passage, minlength=len(more))[passage] > 1) | many[row]
+        row, passage, begin = row[sure], passage[sure], begin[sure]
+        doc, place = sent.doc_id[one][row], sent.place[one][row] + begin
         ranked = np.lexsort((place, doc, passage))
-        heads = ranked[np.concatenate([[True], passage[ranked][1:] != passage[ranked][:-1]])]
-        first = np.empty(passages, np.int64)
+        heads = ranked[np.concatenate([[True], passage[ranked][1:] != passage[ranked][:-1]])] if len(ranked) else ranked
+        first = np.zeros(len(more), np.int64)
         first[passage[heads]] = heads
-        at_first = (doc == doc[first[passage]]) & (place == place[first[passage]])
-        owned[row[at_first], at[at_first]] = True
+        is_first = (doc == doc[first[passage]]) & (place == place[first[passage]])
+        for change, some in ((marks, slice(None)), (owned, is_first)):
+            np.add.at(change, (row[some], begin[some]), 1)
+            np.add.at(change, (row[some], begin[some] + more[passage[some]] + 1), -1)
+    marks, owned = (np.cumsum(x[:, :-1], axis=1) > 0 for x in (marks, owned))
     # a phrase of another block owns a window only if it stands where the first one does
     stands_first = (sent.doc_id == sent.doc_id[one][group]) & (sent.place == sent.place[one][group])
     return marks[group], owned[group] & stands_first[:, None]
@@ -114,3 +149,22 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     """
     id_type = docs.schema[id_col].dataType.simpleString()
     return find_repeats(docs, shape_of(window), resolve, _finish, f"doc_id {id_type}, n_words long, n_removed long, kept string", id_col, text_col, options)
+
+
+def _finish_rows(block: Block, table: pa.Table, removed: np.ndarray) -> pa.Table:
+    found = _finish(block, table, removed)
+    text = pc.if_else(pc.greater(found.column("n_removed"), 0), found.column("kept"), table.column("text").cast(pa.string()))
+    return pa.table({"rest": table.column("rest"), "text": text})
+
+
+def strip_repeats(docs: DataFrame, window: int = WINDOW, options: Exchange = Exchange()) -> DataFrame:
+    """The rows of docs, all columns, with such texts stripped; n_chars, if there, follows the new text.
+
+    A text of which nothing is removed stays as it is, with its white space.
+    """
+    others = docs.select(*(c for c in docs.columns if c != "text")).schema
+    found = find_repeats(docs, shape_of(window), resolve, _finish_rows, f"rest {others.simpleString()}, text string", options=options, keep_rest=True)
+    columns = {c: F.col("text") if c == "text" else F.col("rest").getField(c) for c in docs.columns}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return found.select(*(column.alias(name) for name, column in columns.items()))

@@ -28,11 +28,11 @@ from kinfold.llm.windows import Block, Exchange, Sent, Shape, covered, find_repe
 WINDOW = 200
 
 
-def _matrix(pieces: list[bytes], width: int, backwards: bool) -> np.ndarray:
-    out = np.zeros((len(pieces), width), np.uint8)
-    lengths = np.array([len(p) for p in pieces], np.int64)
-    flat = np.frombuffer(b"".join(pieces), np.uint8)
-    row = np.repeat(np.arange(len(pieces)), lengths)
+def _matrix(sent: Sent, rows: np.ndarray, side: int, width: int, backwards: bool) -> np.ndarray:
+    out = np.zeros((len(rows), width), np.uint8)
+    lengths = sent.size[rows, side]
+    flat = np.frombuffer(sent.contexts(rows, side), np.uint8)
+    row = np.repeat(np.arange(len(rows)), lengths)
     ends = np.cumsum(lengths)
     column = np.arange(len(flat)) - (ends - lengths)[row]
     out[row, (lengths[row] - 1 - column) if backwards else column] = flat
@@ -65,8 +65,8 @@ def resolve(sent: Sent, reach: int, core: int) -> tuple[np.ndarray, None]:
     one = same[new]
     many = np.bincount(group, sent.copies) > 1
     core_id = np.cumsum(np.concatenate([[True], (sent.names[one][1:] != sent.names[one][:-1]).any(1)]))
-    left_rank, left_common = suffix_order(core_id, _matrix([sent.left_bytes[k] for k in one.tolist()], reach - 1, True))
-    right_rank, right_common = suffix_order(core_id, _matrix([sent.right_bytes[k] for k in one.tolist()], reach - 1, False))
+    left_rank, left_common = suffix_order(core_id, _matrix(sent, one, 0, reach - 1, True))
+    right_rank, right_common = suffix_order(core_id, _matrix(sent, one, 1, reach - 1, False))
     left, last = sent.left[one], sent.last[one]
     marks = np.zeros((len(one), reach), bool)
     for depth in range(reach):

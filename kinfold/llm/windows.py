@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.llm.common import Words, shuffle_partitions, total_text_bytes, utf8_buffer
+from kinfold.llm.common import Words, ranges, shuffle_partitions, total_text_bytes, utf8_buffer
 
 #: Window starts whose hashes are computed at once.
 CHUNK = 1 << 19
@@ -66,13 +66,13 @@ class Exchange:
     hot: int = 2000
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
+def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(FINAL_1)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(FINAL_2)
     return x ^ (x >> np.uint64(31))
 
 
-_BYTE_VALUES = _mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(MULTIPLIER))
+_BYTE_VALUES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(MULTIPLIER))
 _POWERS: list[np.ndarray] = []
 
 
@@ -129,7 +129,7 @@ class Symbols:
             else:
                 p = _prefix(self.data[s[0] : e[-1]])
                 _, down = _powers(e[-1] - s[0])
-                out[k:stop] = _mixed((p[e - s[0]] - p[s - s[0]]) * down[s - s[0]])
+                out[k:stop] = mixed((p[e - s[0]] - p[s - s[0]]) * down[s - s[0]])
             k = stop
         return out
 
@@ -143,10 +143,10 @@ class Symbols:
             out = h[: len(h) - gram + 1].copy()
             for k in range(1, gram):
                 out = out * np.uint64(MULTIPLIER) + h[k : k + len(out)]
-            return _mixed(out)
+            return mixed(out)
         p = _prefix(self.data[lo : hi + gram - 1])
         _, down = _powers(len(p))
-        return _mixed((p[gram:] - p[:-gram]) * down[: len(p) - gram])
+        return mixed((p[gram:] - p[:-gram]) * down[: len(p) - gram])
 
     def _chunks(self):
         """Ranges of window starts: whole texts together, or a part of one long text."""
@@ -215,7 +215,7 @@ class Symbols:
         a, b = self.begin(i0), self.end(i1 + self.shape.window)
         raw, digest = self.raw, xxhash.xxh3_64_intdigest
         found = np.fromiter((digest(raw[x:y], level) for x, y in zip(a.tolist(), b.tolist(), strict=True)), np.uint64, len(a))
-        return found ^ _mixed((anchor - i0 + 1).astype(np.uint64))
+        return found ^ mixed((anchor - i0 + 1).astype(np.uint64))
 
 
 def cut_fine(anchor: np.ndarray, i0: np.ndarray, i1: np.ndarray, fine: int) -> tuple[np.ndarray, ...]:
@@ -279,11 +279,16 @@ class Sent:
     left: np.ndarray
     last: np.ndarray
     copies: np.ndarray
-    left_bytes: list[bytes]
-    right_bytes: list[bytes]
+    raw: bytes
+    begin: np.ndarray
+    size: np.ndarray
     doc_id: np.ndarray
     place: np.ndarray
 
+    def contexts(self, rows: np.ndarray, side: int) -> bytes:
+        """The left (0) or right (1) contexts of these phrases, one after the other."""
+        return np.frombuffer(self.raw, np.uint8)[ranges(self.begin[rows, side], self.size[rows, side])].tobytes()
+
 
 def _unpack(table: pa.Table, level: int) -> Sent:
     rows = [r for r in table.to_pylist() if r["level"] == level]
@@ -292,24 +297,25 @@ def _unpack(table: pa.Table, level: int) -> Sent:
     shape = np.frombuffer(join("shape"), np.uint8).reshape(-1, 3).astype(np.int64)
     lengths = np.frombuffer(join("lengths"), "<u4").astype(np.int64)
     places = np.frombuffer(join("places"), "<i8").reshape(-1, 2)
-    raw, ends = memoryview(join("bytes")), np.cumsum(lengths)
-    pieces = [bytes(raw[x:y]) for x, y in zip((ends - lengths).tolist(), ends.tolist(), strict=True)]
+    begin = (np.cumsum(lengths) - lengths).reshape(-1, 2)
     block = np.repeat([r["block"] for r in rows], [len(r["contents"]) // 8 for r in rows]).astype(np.int64) if rows else np.zeros(0, np.int64)
-    return Sent(block, names, np.frombuffer(join("contents"), "<u8"), shape[:, 0], shape[:, 1], shape[:, 2], pieces[0::2], pieces[1::2], places[:, 0], places[:, 1])
+    return Sent(block, names, np.frombuffer(join("contents"), "<u8"), shape[:, 0], shape[:, 1], shape[:, 2], join("bytes"), begin, lengths.reshape(-1, 2), places[:, 0], places[:, 1])
 
 
-def find_repeats(docs: DataFrame, shape: Shape, resolve: Callable, finish: Callable, schema: str, id_col: str = "doc_id", text_col: str = "text", options: Exchange = Exchange()) -> DataFrame:
+def find_repeats(docs: DataFrame, shape: Shape, resolve: Callable, finish: Callable, schema: str, id_col: str = "doc_id", text_col: str = "text", options: Exchange = Exchange(), keep_rest: bool = False) -> DataFrame:
     """Apply `finish` to every block of docs with the answers of `resolve`.
 
     resolve(Sent, reach, core) -> (marks, owned): boolean arrays (phrases, reach); marks[r, k]: window k of phrase r
     occurs elsewhere; owned[r, k]: it occurs first where phrase r says it stands (None: not of interest).
     finish(Block, table, removed): rows of `schema`; removed: the window starts of the block to remove.
+    With keep_rest the table has the other columns of docs as the struct `rest`.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rest = [F.struct(*(c for c in docs.columns if c != text_col)).alias("rest")] if keep_rest else []
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), *rest)
     total, parts = total_text_bytes(rows, "text"), shuffle_partitions(spark)
     blocks, buckets = max(-(-total // options.block_bytes), parts), max(-(-total // options.bucket_bytes), parts)
-    rows = rows.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("block"), "doc_id", "text")
+    rows = rows.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("block"), *rows.columns)
 
     def first_pass(table: pa.Table) -> pa.Table:
         block = Block(table, shape)
