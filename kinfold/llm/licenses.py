@@ -68,7 +68,7 @@ class Scanner:
         for k, shared in near.items():
             name, other = self.templates[k]
             few, many = sorted((len(own), len(other)))
-            if few * (2 - self.least) >= self.least * many:
+            if 2 * few / (few + many) >= self.least:  # the score if all of the smaller set is shared
                 dice = 2 * shared / (few + many)
                 if dice >= self.least:
                     out.append((dice, name))
