@@ -9,15 +9,18 @@ vector, and one edge between representatives of linked vectors, so their number
 from __future__ import annotations
 
 from functools import reduce
+from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from kinfold.functions.lexical import SCALES, scaled_features
+from kinfold.operators.components import ensure_checkpoint_dir
 from kinfold.options import DensityOptions
 
 AXES = tuple(SCALES)
+GRID = ("token_count", "unique_chars")
 
 
 def block_vectors(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -35,15 +38,17 @@ def _sum(columns) -> Column:
 def neighbours(vectors: DataFrame, eps: float) -> DataFrame:
     """Pairs of one block's vectors within eps, each with itself: block_key, a, b, d2, and copies, rep of both.
 
-    Unique characters, the axis that spreads most, are binned by eps: a pair within eps is in equal or adjacent bins, so
-    the join is an equi-join on block and bin before any distance is computed.
+    Token count and unique characters, the axes that spread most, are cut into a grid of width eps: a pair within eps is
+    in equal or touching cells, so the join is an equi-join on block and cell before any distance is computed.
     """
     width = max(eps, 1e-6)
-    binned = vectors.withColumn("bin", F.floor(F.col("unique_chars") / width).cast("long"))
-    left = binned.select("block_key", F.col("vector_id").alias("a"), *(F.col(x).alias(f"a_{x}") for x in AXES), F.col("copies").alias("a_copies"), F.col("rep").alias("a_rep"), F.explode(F.array(F.col("bin") - 1, F.col("bin"), F.col("bin") + 1)).alias("bin"))
-    right = binned.select("block_key", F.col("vector_id").alias("b"), *(F.col(x).alias(f"b_{x}") for x in AXES), F.col("copies").alias("b_copies"), F.col("rep").alias("b_rep"), "bin")
+    grid = {axis: F.floor(F.col(axis) / width).cast("long") for axis in GRID}
+    binned = vectors.withColumn("cell", F.struct(*(v.alias(k) for k, v in grid.items())))
+    around = F.array(*(F.struct(*((F.col(f"cell.{axis}") + step).alias(axis) for axis, step in zip(GRID, steps, strict=True))) for steps in product((-1, 0, 1), repeat=len(GRID))))
+    left = binned.select("block_key", F.col("vector_id").alias("a"), *(F.col(x).alias(f"a_{x}") for x in AXES), F.col("copies").alias("a_copies"), F.col("rep").alias("a_rep"), F.explode(around).alias("cell"))
+    right = binned.select("block_key", F.col("vector_id").alias("b"), *(F.col(x).alias(f"b_{x}") for x in AXES), F.col("copies").alias("b_copies"), F.col("rep").alias("b_rep"), "cell")
     d2 = _sum((F.col(f"a_{x}") - F.col(f"b_{x}")) * (F.col(f"a_{x}") - F.col(f"b_{x}")) for x in AXES)
-    pairs = left.join(right, ["block_key", "bin"]).withColumn("d2", d2).where(F.col("d2") <= eps * eps)
+    pairs = left.join(right, ["block_key", "cell"]).withColumn("d2", d2).where(F.col("d2") <= eps * eps)
     return pairs.select("block_key", "a", "b", "d2", "a_copies", "b_copies", "a_rep", "b_rep")
 
 
@@ -64,8 +69,11 @@ def vector_links(near: DataFrame, core: DataFrame) -> DataFrame:
 
 def density_edges(keyed: DataFrame, options: DensityOptions = DensityOptions()) -> DataFrame:
     """Distinct edges (src, dst), src < dst, that connect the records of each block's clusters."""
+    ensure_checkpoint_dir(keyed.sparkSession)
     vectors, members = block_vectors(keyed)
-    near = neighbours(vectors, options.dbscan_eps)
+    # both are small beside the cells, and every later step reads them
+    vectors = vectors.checkpoint()
+    near = neighbours(vectors, options.dbscan_eps).checkpoint()
     core = core_vectors(near, options.dbscan_min_samples)
     links = vector_links(near, core)
     joined = core.select("block_key", "vector_id").unionByName(links.select("block_key", F.col("a").alias("vector_id"))).distinct()

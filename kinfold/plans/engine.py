@@ -56,7 +56,7 @@ def cluster_records(records: DataFrame, options: Options = Options()) -> DataFra
     ensure_checkpoint_dir(records.sparkSession)
     stages = plan(records, options)
     edges = stages.edges.checkpoint()
-    return filter_clusters(aggregate_clusters(assign(stages, edges, options), stages.cells), options.clusters)
+    return filter_clusters(aggregate_clusters(assign(stages, edges, options), stages.cells, options.clusters.max_cluster_size), options.clusters)
 
 
 def run(input_path: str, output_path: str, options: Options = Options(), spark: SparkSession | None = None) -> dict:
@@ -82,7 +82,7 @@ def run(input_path: str, output_path: str, options: Options = Options(), spark:
             began = time.time()
             assignments = assign(stages, edges, options).checkpoint()
             timings["connected_components"] = round(time.time() - began, 3)
-            clusters = filter_clusters(aggregate_clusters(assignments, cells), options.clusters)
+            clusters = filter_clusters(aggregate_clusters(assignments, cells, options.clusters.max_cluster_size), options.clusters)
             write_clusters(clusters, output_path, options.run.output_format)
             if not options.run.metrics_enabled:
                 return {"config": options.flat()}

@@ -163,6 +163,7 @@ def test_clusters(spark):
     rows = {r.cluster_id: r for r in aggregate_clusters(assigned, cells).collect()}
     assert rows[1].cohesion == pytest.approx(0.484375) and rows[1].members == [1, 2] and rows[1]["size"] == 2
     assert rows[3].cohesion == 1.0
+    assert {r.cluster_id: r.members for r in aggregate_clusters(assigned, cells, 1).collect()} == {1: None, 3: [3]}
     assert [r.cluster_id for r in filter_clusters(aggregate_clusters(assigned, cells), ClusterOptions(min_cluster_cohesion=0.4)).collect()] == [1]
 
 
