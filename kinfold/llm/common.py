@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 
 import numpy as np
@@ -33,6 +35,28 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Rows of a batch between the JVM and Python; rows here are texts, of a few KB on average.
+BATCH_ROWS = 1000
+
+
+def text_batches(spark: SparkSession) -> SparkSession:
+    """The session with Arrow batches fit for rows of text, if their size is Spark's default."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, BATCH_ROWS)
+    return spark
+
+
+def give_back() -> None:
+    """Return freed memory of this Python worker, which Spark keeps for later tasks, to the machine."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not every C library can
+        pass
+
+
 def total_text_bytes(docs: DataFrame, text_col: str) -> int:
     return docs.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0] or 0
 

@@ -29,9 +29,13 @@ from kinfold.llm.common import cut_lineage
 #: A source has at most this many blocks, whatever its size; a power of two.
 MOST_BLOCKS = 4096
 ROWS_PER_BLOCK = 32
+#: Sources, and the draws of blocks, are broadcast up to this many rows, about 20 MB.
+MOST_ROWS_SENT = 100_000
 #: The weights in turn.
 WEIGHTS = (5.0, 2.0, 1.0)
 
+RESULTS = ("size", "source_size", "target", "taken", "shards")
+
 
 @dataclass(frozen=True)
 class MixOptions:
@@ -41,10 +45,11 @@ class MixOptions:
     seed: int = 2024
 
 
-def _prepared(docs: DataFrame, options: MixOptions) -> DataFrame:
-    """docs with size, hash of the row, and key of the source."""
+def _prepared(docs: DataFrame, carried: list[str], options: MixOptions) -> DataFrame:
+    """Rows (row, doc_id, source, source_key, size, row_hash); row: the struct of the carried columns."""
     size = F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
-    return docs.withColumns({"size": size, "row_hash": F.xxhash64(F.lit(options.seed), F.col("doc_id"), F.col("text")), "source_key": _source_key()})
+    row_hash = F.xxhash64(F.lit(options.seed), F.col("doc_id"), F.col("text"))
+    return docs.select(F.struct(*carried).alias("row"), "doc_id", "source", _source_key().alias("source_key"), size.alias("size"), row_hash.alias("row_hash"))
 
 
 def _source_key() -> Column:
@@ -135,20 +140,27 @@ def mix(docs: DataFrame, options: MixOptions = MixOptions()) -> DataFrame:
 
     taken: words the mix takes of the row, with repeats; shards: the output shard of each time it is taken.
     """
-    return _mixed(docs, _prepared(docs, options), options)
+    carried = [c for c in docs.columns if c not in RESULTS]
+    return _mixed(_prepared(docs, carried, options), options).select(*(F.col("row").getField(c).alias(c) for c in carried), *RESULTS)
 
 
 def mix_sizes(docs: DataFrame, options: MixOptions = MixOptions()) -> DataFrame:
     """As mix, without the texts: rows (doc_id, source, size, source_size, target, taken, shards)."""
-    light = cut_lineage(_prepared(docs.select("doc_id", "text", "source"), options).drop("text"))
-    return _mixed(docs.select("doc_id", "source"), light, options)
+    light = cut_lineage(_prepared(docs, ["doc_id", "source"], options))
+    return _mixed(light, options).select("row.doc_id", "row.source", *RESULTS)
+
+
+def _sent(few: DataFrame) -> DataFrame:
+    """A checkpointed table to be broadcast if it is small; beyond that the join deals both sides by its key."""
+    return F.broadcast(few) if few.count() <= MOST_ROWS_SENT else few
 
 
-def _mixed(docs: DataFrame, prepared: DataFrame, options: MixOptions) -> DataFrame:
+def _mixed(prepared: DataFrame, options: MixOptions) -> DataFrame:
+    """Rows (row, and RESULTS)."""
     sources, by_block = _plan(prepared, options)
-    keyed = prepared.join(sources.select("source_key", "source_size", "target", "n_blocks"), "source_key")
+    keyed = prepared.join(_sent(sources.select("source_key", "source_size", "target", "n_blocks")), "source_key")
     keyed = keyed.withColumn("block", F.pmod(F.col("row_hash"), F.lit(MOST_BLOCKS)) % F.col("n_blocks"))
-    planned = keyed.join(by_block, ["source_key", "block"], "left")
+    planned = keyed.join(_sent(cut_lineage(by_block)), ["source_key", "block"], "left")
     clear = planned.where("cut IS NULL").withColumn("in_cut", F.lit(True))
     # of a block that is cut: its longest rows while they fit, then its shortest, to the nearest
     block = Window.partitionBy("source_key", "block")
@@ -159,13 +171,12 @@ def _mixed(docs: DataFrame, prepared: DataFrame, options: MixOptions) -> DataFra
     parted = parted.withColumn("in_cut", F.col("fits") | (2 * F.sum("size").over(up) - F.col("size") <= 2 * F.col("still"))).drop("fits", "still")
     both = clear.unionByName(parted)
     held = F.filter(F.coalesce(F.col("draws"), F.array().cast(by_block.schema["draws"].dataType)), lambda d: F.col("in_cut") | d["cut"].isNull())
-    names = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken", "shards")]
-    return both.withColumn("held", held).select(*names, "size", "source_size", "target", (F.size("held") * F.col("size")).alias("taken"), F.col("held.shard").alias("shards"))
+    return both.withColumn("held", held).select("row", "size", "source_size", "target", (F.size("held") * F.col("size")).alias("taken"), F.col("held.shard").alias("shards"))
 
 
 def take(docs: DataFrame, options: MixOptions = MixOptions()) -> DataFrame:
     """The mix itself: each row of docs as often as it is taken, shard by shard, in random order within a shard."""
-    rows = mix(docs, options)
-    shuffle = F.xxhash64(F.lit(options.seed), F.col("shard"), F.col("turn"), F.col("doc_id"), F.col("text"))
-    taken = rows.select(*docs.columns, F.posexplode("shards").alias("turn", "shard")).withColumn("place", shuffle)
-    return taken.repartition(2**options.tree_depth, "shard").sortWithinPartitions("shard", "place").select(docs.columns)
+    rows = _mixed(_prepared(docs, docs.columns, options), options).select("row", F.posexplode("shards").alias("turn", "shard"))
+    shuffle = F.xxhash64(F.lit(options.seed), F.col("shard"), F.col("turn"), F.col("row.doc_id"), F.col("row.text"))
+    taken = rows.withColumn("place", shuffle).repartition(2**options.tree_depth, "shard").sortWithinPartitions("shard", "place")
+    return taken.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
