@@ -27,17 +27,19 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kinfold.llm.common import give_back
+
 HASH_BITS = 20
 PREFIXES = range(3, 8)
 MAX_TERMS = 20_000
 TERM = re.compile(r"\w+")
 #: Words known to a worker before its cache starts anew.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
 
 
 @dataclass(frozen=True)
 class FitOptions:
-    sample_per_class: int = 4000
+    sample_per_class: int = 3000
     factors: int = 4
     epochs: int = 30
     batch: int = 256
@@ -90,16 +92,16 @@ def _sample(docs: DataFrame, labels: DataFrame, options: FitOptions) -> tuple[np
         picked = part if picked is None else picked.unionByName(part)
 
     def work(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in _slices(whole)):
             packed = [np.unique(np.array([b for w in text_words(t) for b in word_buckets(w)], "<u4")).tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(packed, pa.binary())], ["doc_id", "toxic", "terms"])
 
     # at most two times sample_per_class rows are broadcast
     joined = docs.join(F.broadcast(picked), "doc_id").select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    rows = joined.mapInArrow(work, f"doc_id {id_type}, toxic int, terms binary").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("terms").alias("terms")).toPandas()
-    rows = rows.sort_values("doc_id")
-    return rows["toxic"].to_numpy(dtype=np.float64), [np.frombuffer(t, "<u4").astype(np.int64) for t in rows["terms"]]
+    rows = joined.mapInArrow(work, f"doc_id {id_type}, toxic int, terms binary").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("terms").alias("terms")).toArrow()
+    rows = rows.sort_by("doc_id").to_pydict()
+    return np.array(rows["toxic"], np.float64), [np.frombuffer(t, "<u4") for t in rows["terms"]]
 
 
 def fit(docs: DataFrame, labels: DataFrame, options: FitOptions = FitOptions()) -> Machine:
@@ -113,20 +115,17 @@ def fit_rows(y: np.ndarray, terms: list[np.ndarray], options: FitOptions) -> Mac
     if not 0 < positive < n:
         share = positive / n if n else 0.0
         return Machine(none, 30.0 * np.sign(share - 0.5), np.zeros(0), np.zeros((0, options.factors)))
-    flat = np.concatenate(terms)
-    doc = np.repeat(np.arange(n), [len(t) for t in terms])
-    with_term, inverse = np.unique(flat, return_inverse=True)
-    seen = np.bincount(inverse).astype(float)
-    toxic = np.bincount(inverse, y[doc])
-    share = positive / n
+    share, seen, toxic = positive / n, np.zeros(1 << HASH_BITS), np.zeros(1 << HASH_BITS)
+    for label, own in zip(y, terms, strict=True):  # a document's terms are distinct
+        seen[own] += 1
+        toxic[own] += label
     z = (toxic - seen * share) / np.sqrt(seen * share * (1 - share) + 1e-9)
-    useful = (seen >= options.min_texts) & (np.abs(z) >= options.min_z)
-    ranked = np.flatnonzero(useful)[np.argsort(-np.abs(z[useful]), kind="stable")][:MAX_TERMS]
-    index = np.full(len(with_term), -1)
-    chosen = np.sort(ranked)
+    useful = np.flatnonzero((seen >= options.min_texts) & (np.abs(z) >= options.min_z))
+    chosen = np.sort(useful[np.argsort(-np.abs(z[useful]), kind="stable")][:MAX_TERMS])
+    index = np.full(1 << HASH_BITS, -1)
     index[chosen] = np.arange(len(chosen))
-    row = index[inverse]
-    doc, row = doc[row >= 0], row[row >= 0]
+    kept = [index[own][index[own] >= 0] for own in terms]
+    row, doc = np.concatenate(kept), np.repeat(np.arange(n), [len(k) for k in kept])
     at = np.searchsorted(doc, np.arange(n + 1))
     rng = np.random.default_rng(options.seed)
     w, v, bias = np.zeros(len(chosen)), rng.normal(0, 0.02, (len(chosen), options.factors)), np.log(share / (1 - share))
@@ -152,7 +151,7 @@ def fit_rows(y: np.ndarray, terms: list[np.ndarray], options: FitOptions) -> Mac
             w -= options.rate * g / np.sqrt(gw)
             v -= options.rate * 0.2 * dv / np.sqrt(gv)
             bias -= options.rate * err.sum() / np.sqrt(gb)
-    return Machine(with_term[chosen], float(bias), w, v)
+    return Machine(chosen, float(bias), w, v)
 
 
 class _Scorer:
@@ -172,7 +171,7 @@ class _Scorer:
             for word in text_words(text):
                 found = known.get(word)
                 if found is None:
-                    found = known[word] = [at[b] for b in word_buckets(word) if b in at]
+                    found = known[word] = tuple([at[b] for b in word_buckets(word) if b in at])
                 if found:
                     mine.update(found)
             rows.extend(sorted(mine))
@@ -191,6 +190,8 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
         scorer = _Scorer(machine)
         for batch in (part for whole in batches for part in _slices(whole)):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scorer(batch.column(1).to_pylist()))], ["doc_id", "score"])
+        del scorer
+        give_back()
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(work, f"doc_id {id_type}, score double")
@@ -213,5 +214,7 @@ def reject_toxic(docs: DataFrame, labels: DataFrame, options: FitOptions = FitOp
         scorer = _Scorer(machine)
         for batch in (part for whole in batches for part in _slices(whole)):
             yield batch.filter(pa.array(scorer(batch.column(at).to_pylist()) < 0.5))
+        del scorer
+        give_back()
 
     return docs.mapInArrow(keep, docs.schema)
