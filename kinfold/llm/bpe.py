@@ -23,14 +23,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.llm.common import ranges
+from kinfold.llm.common import give_back, ranges, text_runs
 
 #: Fixed value: the splitting pattern of the ByteLevel pre-tokenizer.
 SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Texts are handled in runs of about this many characters; a longer text is a run of its own.
-RUN_CHARS = 1_000_000
-#: Words kept in a worker's cache before it starts anew.
-CACHE_WORDS = 300_000
+#: Texts are handled in runs of about this many bytes; a longer text is a run of its own.
+RUN_BYTES = 1 << 20
+#: Words kept in a task's cache before it starts anew.
+CACHE_WORDS = 200_000
 #: Longer words use a heap, since their number of rounds grows with their length.
 ROUND_BYTES = 4096
 NO_PAIR = np.int64(1) << 40
@@ -72,9 +72,9 @@ class Tokenizer:
         self.split = regex.compile(SPLIT_PATTERN)
         names = sorted(self.added, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
-        self._reset()
+        self.forget()
 
-    def _reset(self) -> None:
+    def forget(self) -> None:
         self.number: dict[str, int] = {name: k for k, name in enumerate(self.added)}
         self.found = [np.array(list(self.added.values()), np.int64)]
         self.counts = [np.ones(len(self.added), np.int64)]
@@ -175,7 +175,7 @@ class Tokenizer:
     def encode_batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, and the number of ids of each text."""
         if len(self.number) > CACHE_WORDS:
-            self._reset()
+            self.forget()
         split = [self.words(t) for t in texts]
         number = self.number
         new = list(dict.fromkeys(w for words in split for w in words if w not in number))
@@ -210,17 +210,6 @@ def load_tokenizer(path: str) -> Tokenizer:
     return Tokenizer(path)
 
 
-def _runs(texts: list[str | None]):
-    start, size = 0, 0
-    for k, text in enumerate(texts):
-        size += len(text or "")
-        if size >= RUN_CHARS:
-            yield start, k + 1
-            start, size = k + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (doc_id, n_tokens, ids, decoded): ids as flat little-endian unsigned 32-bit integers, and their decoding.
 
@@ -231,17 +220,17 @@ def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
 
     def work(batches):
         tokenizer = load_tokenizer(tokenizer_path)
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in _runs(texts):
-                ids, counts = tokenizer.encode_batch([t or "" for t in texts[a:b]])
-                raw = ids.astype("<u4").tobytes()
-                ends = np.cumsum(counts) * 4
-                packed = [raw[x - 4 * n : x] for x, n in zip(ends.tolist(), counts.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(counts, pa.int64()), pa.array(packed, pa.binary()), pa.array(tokenizer.decode_batch(ids, counts), pa.string())],
-                    ["doc_id", "n_tokens", "ids", "decoded"],
-                )
+        for part in (run for batch in batches for run in text_runs(batch, 1, RUN_BYTES)):
+            ids, counts = tokenizer.encode_batch([t or "" for t in part.column(1).to_pylist()])
+            raw = ids.astype("<u4").tobytes()
+            ends = np.cumsum(counts) * 4
+            packed = [raw[x - 4 * n : x] for x, n in zip(ends.tolist(), counts.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array(counts, pa.int64()), pa.array(packed, pa.binary()), pa.array(tokenizer.decode_batch(ids, counts), pa.string())],
+                ["doc_id", "n_tokens", "ids", "decoded"],
+            )
+        tokenizer.forget()
+        give_back()
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(work, f"doc_id {id_type}, n_tokens long, ids binary, decoded string")

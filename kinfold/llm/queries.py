@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from kinfold.llm import bpe, kdtree, licenses, mixing, phrase_dedup, quality, simhash, sql, suffix_dedup, token_scan, toxicity
 
+from kinfold.llm.common import text_batches
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return text_batches(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.llm.common import Words, cut_lineage, shuffle_partitions, utf8_buffer
+from kinfold.llm.common import Words, cut_lineage, give_back, shuffle_partitions, text_runs, utf8_buffer
 from kinfold.operators.components import star_components
 
 SHINGLE = 4
@@ -71,13 +71,10 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def work(batches):
         for batch in batches:
-            data, offsets = utf8_buffer(batch.column(1))
-            a = 0
-            while a < batch.num_rows:
-                b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + RUN_BYTES, "right")) - 1)
-                prints = text_fingerprints(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], shingle)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(prints.view(np.int64))], ["doc_id", "fingerprint"])
-                a = b
+            for part in text_runs(batch, 1, RUN_BYTES):
+                prints = text_fingerprints(*utf8_buffer(part.column(1)), shingle)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(prints.view(np.int64))], ["doc_id", "fingerprint"])
+        give_back()
 
     id_type = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(work, f"doc_id {id_type}, fingerprint long")

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.llm.common import Words, ranges, shuffle_partitions, total_text_bytes, utf8_buffer
+from kinfold.llm.common import Words, give_back, ranges, shuffle_partitions, total_text_bytes, utf8_buffer
 
 #: Window starts whose hashes are computed at once.
 CHUNK = 1 << 19
@@ -322,6 +322,8 @@ def find_repeats(docs: DataFrame, shape: Shape, resolve: Callable, finish: Calla
         names, counts = np.unique(block.names[:, 0], return_counts=True)
         out = [(k, names[own].tobytes(), np.minimum(counts[own], 255).astype(np.uint8).tobytes()) for k, own in _by_bucket(names % np.uint64(buckets), buckets)]
         number = _key(table)
+        del block
+        give_back()
         return pa.table({"bucket": pa.array([r[0] for r in out], pa.int32()), "block": pa.array([number] * len(out), pa.int64()), "names": pa.array([r[1] for r in out], pa.binary()), "counts": pa.array([r[2] for r in out], pa.binary())})
 
     def repeated(table: pa.Table) -> pa.Table:
@@ -364,6 +366,7 @@ def find_repeats(docs: DataFrame, shape: Shape, resolve: Callable, finish: Calla
                 for k, some in _by_bucket(core[:, 0] % np.uint64(buckets), buckets):
                     flat = _bytes_of(symbols.raw, np.stack([edges[0][some], edges[2][some]], 1).ravel(), np.stack([edges[1][some], edges[3][some]], 1).ravel())
                     out.append((k, number, level, core[some].tobytes(), contents[some].tobytes(), own[some].tobytes(), lengths[some].tobytes(), flat, places[some].tobytes() if shape.words else bytes(16 * len(some))))
+        give_back()
         columns = list(zip(*out, strict=True)) if out else [[]] * 9
         kinds = [pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 6]
         return pa.table({n.split()[0]: pa.array(c, k) for n, c, k in zip(_SENT.split(", "), columns, kinds, strict=True)})
@@ -379,6 +382,7 @@ def find_repeats(docs: DataFrame, shape: Shape, resolve: Callable, finish: Calla
             some = some[np.argsort(sent.block[some], kind="stable")]
             for own in np.split(some, np.flatnonzero(np.diff(sent.block[some])) + 1) if len(some) else []:
                 out.append((int(sent.block[own[0]]), level, sent.contents[own].tobytes(), np.packbits(marks[own], axis=1).tobytes(), np.packbits(owned[own], axis=1).tobytes() if owned is not None else b""))
+        give_back()
         columns = list(zip(*out, strict=True)) if out else [[]] * 5
         kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 3]
         return pa.table({n.split()[0]: pa.array(c, k) for n, c, k in zip(_REPLY.split(", "), columns, kinds, strict=True)})
@@ -413,7 +417,10 @@ def find_repeats(docs: DataFrame, shape: Shape, resolve: Callable, finish: Calla
                 gone = gone & ~(unpack("owned")[row] & is_first[:, None])
             which, k = np.nonzero(gone)
             removed.append(i0[which] + k)
-        return finish(block, table, np.concatenate(removed))
+        out = finish(block, table, np.concatenate(removed))
+        del block
+        give_back()
+        return out
 
     sent = rows.groupBy("block").applyInArrow(first_pass, "bucket int, block long, names binary, counts binary")
     known = sent.groupBy("bucket").applyInArrow(repeated, _REPLY)
