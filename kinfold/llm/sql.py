@@ -56,6 +56,44 @@ TOKEN_COUNTS = r"""
 SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS n_tokens FROM documents
 """
 
+#: Bytes as pairs of hexadecimal digits; a window's key is the checksum of its digits.
+SUFFIX_DEDUP = """
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS digits FROM documents
+), b AS (
+  SELECT rid, digits, unnest(range(0, length(digits) // 2)) AS i FROM d
+), k AS (
+  SELECT rid, i, substring(digits, 2 * i + 1, 2) AS byte, CASE WHEN 2 * i + 400 <= length(digits) THEN md5_number(substring(digits, 2 * i + 1, 400)) END AS key FROM b
+), t AS (
+  SELECT key FROM k WHERE key IS NOT NULL GROUP BY key HAVING count(*) > 1
+), c AS (
+  SELECT rid, i, byte, max(CASE WHEN t.key IS NULL THEN 0 ELSE 1 END) OVER (PARTITION BY rid ORDER BY i ROWS BETWEEN 199 PRECEDING AND CURRENT ROW) AS gone FROM k LEFT JOIN t USING (key)
+), e AS (
+  SELECT *, coalesce(lag(gone) OVER (PARTITION BY rid ORDER BY i), 0) AS before FROM c
+), g AS (
+  SELECT rid, sum(gone)::BIGINT AS n_removed, (count(*) FILTER (gone = 1 AND before = 0))::BIGINT AS n_spans, string_agg(byte, '' ORDER BY i) FILTER (gone = 0) AS kept FROM e GROUP BY rid
+)
+SELECT doc_id, (length(digits) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN g USING (rid)
+"""
+
+PHRASE_DEDUP = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(doc_id, 9223372036854775807) AS place, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), w AS (
+  SELECT rid, place, words, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM d
+), k AS (
+  SELECT rid, place, pos, word, CASE WHEN pos + 19 <= len(words) THEN array_to_string(words[pos:pos + 19], ' ') END AS key FROM w
+), f AS (
+  SELECT key, min({'place': place, 'pos': pos}) AS earliest FROM k WHERE key IS NOT NULL GROUP BY key HAVING count(*) > 1
+), c AS (
+  SELECT rid, pos, word, max(CASE WHEN f.earliest < {'place': place, 'pos': pos} THEN 1 ELSE 0 END) OVER (PARTITION BY rid ORDER BY pos ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone FROM k LEFT JOIN f USING (key)
+), g AS (
+  SELECT rid, sum(gone)::BIGINT AS n_removed, string_agg(word, ' ' ORDER BY pos) FILTER (gone = 0) AS kept FROM c GROUP BY rid
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN g USING (rid)
+"""
+
 TOP_K = """
 WITH v AS (
   SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
@@ -108,4 +146,4 @@ FROM d LEFT JOIN (SELECT * FROM g WHERE r = 1) g USING (rid) LEFT JOIN l USING (
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_token_counts": TOKEN_COUNTS, "op4_quality": _quality(), "op7_kdtree": TOP_K, "op10_licenses": _licenses()}
+    return {"op1_suffix_dedup": SUFFIX_DEDUP, "op6_phrase_dedup": PHRASE_DEDUP, "op2_token_counts": TOKEN_COUNTS, "op4_quality": _quality(), "op7_kdtree": TOP_K, "op10_licenses": _licenses()}
