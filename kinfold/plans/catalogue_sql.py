@@ -95,22 +95,22 @@ def top(k: int = 2) -> str:
 ), best AS (SELECT * FROM few WHERE block_id IN (SELECT block_id FROM few GROUP BY block_id HAVING count(*) >= 2))"""
 
 
-def weighted(part: str = "1.0 / size", cost: int = 100_000, tau: float = 0.0) -> str:
-    return f"""{top()}, weighed AS (SELECT *, ({part})::DOUBLE AS part FROM (SELECT *, count(*) OVER (PARTITION BY block_id) AS size, (SELECT count(DISTINCT record_id) FROM blocks) AS corpus FROM best) WHERE size * (size - 1) / 2 <= {cost}
+def weighted(part: str = "1.0 / size", cost: int = 100_000, tau: float = 0.0, k: int = 2) -> str:
+    return f"""{top(k)}, weighed AS (SELECT *, ({part})::DOUBLE AS part FROM (SELECT *, count(*) OVER (PARTITION BY block_id) AS size, (SELECT count(DISTINCT record_id) FROM blocks) AS corpus FROM best) WHERE size * (size - 1) / 2 <= {cost}
 ), edges AS (SELECT * FROM (
   SELECT a.record_id AS src, b.record_id AS dst, round(sum(a.part), 6) AS weight FROM weighed a JOIN weighed b ON a.block_id = b.block_id AND a.record_id < b.record_id WHERE a.part > 0 GROUP BY 1, 2) WHERE weight >= {tau})"""
 
 
-def vectors() -> str:
+def vectors(guard: str = "") -> str:
     scaled = ", ".join(f"({f'ln(1 + length::DOUBLE)' if n == 'length' else f'{n}::DOUBLE'}) / {s} AS s_{n}" for n, s in SCALES.items())
     names = ", ".join(f"s_{n}" for n in SCALES)
-    return f"""{guarded('customer', kinds=('PFX',))}, scaled AS (SELECT block_key, record_id, {scaled} FROM keyed
+    return f"""{guard or guarded('customer', kinds=('PFX',))}, scaled AS (SELECT block_key, record_id, {scaled} FROM keyed
 ), vec AS (SELECT block_key, {names}, count(*) AS copies, min(record_id) AS rep, row_number() OVER () AS vid FROM scaled GROUP BY block_key, {names})"""
 
 
-def near(eps: float) -> str:
+def near(eps: float, guard: str = "") -> str:
     d2 = " + ".join(f"(a.s_{n} - b.s_{n}) * (a.s_{n} - b.s_{n})" for n in SCALES)
-    return f"{vectors()}, near AS (SELECT a.block_key, a.vid AS a, b.vid AS b, a.rep AS a_rep, b.rep AS b_rep, b.copies AS b_copies FROM vec a JOIN vec b ON a.block_key = b.block_key WHERE {d2} <= {eps!r} * {eps!r})"
+    return f"{vectors(guard)}, near AS (SELECT a.block_key, a.vid AS a, b.vid AS b, a.rep AS a_rep, b.rep AS b_rep, b.copies AS b_copies FROM vec a JOIN vec b ON a.block_key = b.block_key WHERE {d2} <= {eps!r} * {eps!r})"
 
 
 def components(edges: str, table: str = "customer", key: str = "c_custkey") -> str:
@@ -126,9 +126,10 @@ def with_clause(body: str, select: str, recursive: bool = False) -> str:
 BRANDS = "assigned AS (SELECT p_partkey::BIGINT AS record_id, p_brand, min(p_partkey) OVER (PARTITION BY p_brand)::BIGINT AS cluster_id FROM part)"
 
 
-def cluster_table() -> str:
+def cluster_table(before: str = "") -> str:
+    """Clusters of the relation assigned, over the features of feat."""
     spread = lambda n: f"coalesce(stddev_pop({n}::DOUBLE), 0)"
-    return f"""{feats('part')}, {BRANDS}, lowest AS (SELECT record_id, arg_min(length, col_index) AS length, arg_min(digit_ratio, col_index) AS digit_ratio, arg_min(alpha_ratio, col_index) AS alpha_ratio FROM feat GROUP BY record_id
+    return f"""{before or f"{feats('part')}, {BRANDS}"}, lowest AS (SELECT record_id, arg_min(length, col_index) AS length, arg_min(digit_ratio, col_index) AS digit_ratio, arg_min(alpha_ratio, col_index) AS alpha_ratio FROM feat GROUP BY record_id
 ), clusters AS (
   SELECT *, greatest(0.0, least(1.0, 1.0 - std_length / 64.0 - std_digit_ratio - std_alpha_ratio)) AS cohesion FROM (
     SELECT cluster_id, array_to_string(list_sort(list(record_id)), ',') AS members, count(*)::BIGINT AS size, {spread('length')} AS std_length, {spread('digit_ratio')} AS std_digit_ratio, {spread('alpha_ratio')} AS std_alpha_ratio
@@ -153,6 +154,9 @@ def oracle_sql() -> dict[str, str]:
   UNION SELECT DISTINCT least(rep, record_id), greatest(rep, record_id) FROM scaled JOIN vec USING (block_key, {names}) WHERE rep <> record_id AND vid IN (SELECT vid FROM core)
 )""".format(names=", ".join(f"s_{n}" for n in SCALES))
     core = lambda k: f", core AS (SELECT a AS vid, sum(b_copies)::BIGINT AS neighbours FROM near GROUP BY a HAVING sum(b_copies) >= {k})"
+    fine = guarded("customer", 2, 400, ("PFX", "PAT"), 5)
+    assigned = ", assigned AS (SELECT x AS record_id, min(y) AS cluster_id FROM reach WHERE x IN (SELECT record_id FROM feat) GROUP BY x)"
+    whole_run = lambda edges: with_clause(cluster_table(f"{edges}, {components('edges')}{assigned}"), "SELECT cluster_id, size, round(cohesion, 5) AS cohesion FROM clusters WHERE size BETWEEN 2 AND 1000000 AND cohesion >= 0", True)
     dist = "SELECT size, count(*) AS clusters FROM (SELECT count(*) AS size FROM {} GROUP BY {}) GROUP BY size"
     edge_rows = "SELECT src, dst, weight FROM edges"
     return {
@@ -201,4 +205,6 @@ def oracle_sql() -> dict[str, str]:
         ),
         "dist_predicted": dist.format("part", "p_brand"),
         "dist_truth": dist.format("part", "p_type"),
+        "end_to_end_arcs": whole_run(weighted(tau=0.2, k=3)),
+        "end_to_end_dbscan": whole_run(near(0.05, fine) + core(2) + eps_edges),
     }
