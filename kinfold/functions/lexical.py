@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,30 +40,35 @@ def norm_value(value: Column, options: LexicalOptions = LexicalOptions()) -> Col
 
 def normalize(cells: DataFrame, options: LexicalOptions = LexicalOptions()) -> DataFrame:
     """Cells with norm_value, those of at least min_value_length characters."""
-    return cells.withColumn("norm_value", norm_value(F.col("value"), options)).where(F.length("norm_value") >= options.min_value_length)
+    # a generated column: a filter on a projected one would compute the whole expression a second time
+    kept = F.filter(F.array(norm_value(F.col("value"), options)), lambda v: F.length(v) >= options.min_value_length)
+    return cells.select("*", F.explode(kept).alias("norm_value"))
 
 
-def _count(value: Column, pattern: str) -> Column:
-    return F.regexp_count(value, F.lit(pattern))
+def _count(value: Column, members: str) -> Column:
+    """Characters of a class: what is left without the runs of all others."""
+    return F.length(F.regexp_replace(value, f"[^{members}]+", ""))
 
 
 def _over(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole).otherwise(0.0)
 
 
-def characters(value: Column) -> Column:
-    return F.regexp_extract_all(value, F.lit("(?s)."), F.lit(0))
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with value computed once a row."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def entropy(value: Column) -> Column:
-    """Shannon entropy of the characters, in bits; 0 for the empty string."""
+def distinct_characters(value: Column) -> Column:
+    return F.array_distinct(F.array_remove(F.split(value, ""), ""))
 
-    def of(chars: Column) -> Column:
-        share = lambda c: F.size(F.filter(chars, lambda x: x == c)) / F.size(chars)
-        return F.lit(0.0) - F.aggregate(F.transform(F.array_distinct(chars), share), F.lit(0.0), lambda a, p: a + p * F.log2(p))
 
-    # the characters are computed once a row; 0 - 0 rather than a negated zero
-    return F.abs(F.get(F.transform(F.array(characters(value)), of), F.lit(0)))
+def entropy(value: Column, length: Column, distinct: Column) -> Column:
+    """Shannon entropy of the characters, in bits; 0 for the empty string."""
+    # a character's count is what the string loses without it, one native scan for each distinct character
+    share = lambda c: (length - F.length(F.replace(value, c, F.lit("")))) / length
+    # 0 - 0 rather than a negated zero
+    return F.abs(F.lit(0.0) - F.aggregate(F.transform(distinct, share), F.lit(0.0), lambda a, p: a + p * F.log2(p)))
 
 
 def pattern(value: Column) -> Column:
@@ -74,33 +81,60 @@ def compact(signature: Column) -> Column:
     return F.regexp_replace(signature, r"(?s)(.)\1+", "$1")
 
 
-def feature_columns(value: Column) -> dict[str, Column]:
+#: The features and their types, in the order of the struct.
+FEATURES = {
+    "length": "int",
+    "digit_ratio": "float",
+    "alpha_ratio": "float",
+    "symbol_ratio": "float",
+    "space_ratio": "float",
+    "token_count": "int",
+    "unique_chars": "int",
+    "upper_ratio": "float",
+    "vowel_ratio": "float",
+    "entropy": "float",
+    "pattern": "string",
+    "pattern_compact": "string",
+}
+
+
+def features(value: Column) -> Column:
+    """The struct of all features; null counts as the empty string.  What several features need is computed once."""
     text = F.coalesce(value, F.lit(""))
-    n, letters = F.length(text), _count(text, rf"[{LETTERS}]")
-    digits, spaces = _count(text, rf"[{DIGITS}]"), _count(text, rf"[{SPACES}]")
-    tokens = F.filter(F.split(text, TOKEN_BREAKS), lambda x: x != "")
-    signature = pattern(text)
-    columns = {
-        "length": n,
-        "digit_ratio": _over(digits, n),
-        "alpha_ratio": _over(letters, n),
-        "symbol_ratio": _over(n - digits - letters - spaces, n),
-        "space_ratio": _over(spaces, n),
-        "token_count": F.size(tokens),
-        "unique_chars": F.size(F.array_distinct(characters(text))),
-        "upper_ratio": _over(_count(text, r"[\p{L}&&\p{IsUppercase}]"), letters),
-        "vowel_ratio": _over(_count(text, "[aeiouAEIOU]"), letters),
-        "entropy": entropy(text),
-        "pattern": signature,
-        "pattern_compact": compact(signature),
-    }
-    kinds = {"length": "int", "token_count": "int", "unique_chars": "int", "pattern": "string", "pattern_compact": "string"}
-    return {name: column.cast(kinds.get(name, "float")) for name, column in columns.items()}
+    base = F.struct(
+        text.alias("text"),
+        F.length(text).alias("n"),
+        _count(text, DIGITS).alias("digits"),
+        _count(text, LETTERS).alias("letters"),
+        _count(text, SPACES).alias("spaces"),
+        distinct_characters(text).alias("distinct"),
+        pattern(text).alias("pattern"),
+    )
+
+    def body(x: Column) -> Column:
+        n, letters = x["n"], x["letters"]
+        found = {
+            "length": n,
+            "digit_ratio": _over(x["digits"], n),
+            "alpha_ratio": _over(letters, n),
+            "symbol_ratio": _over(n - x["digits"] - letters - x["spaces"], n),
+            "space_ratio": _over(x["spaces"], n),
+            "token_count": F.size(F.filter(F.split(x["text"], TOKEN_BREAKS), lambda t: t != "")),
+            "unique_chars": F.size(x["distinct"]),
+            "upper_ratio": _over(F.length(F.regexp_replace(x["text"], r"[^\p{L}]+|[\p{L}&&\P{IsUppercase}]+", "")), letters),
+            "vowel_ratio": _over(_count(x["text"], "aeiouAEIOU"), letters),
+            "entropy": entropy(x["text"], n, x["distinct"]),
+            "pattern": x["pattern"],
+            "pattern_compact": compact(x["pattern"]),
+        }
+        return F.struct(*(found[name].cast(kind).alias(name) for name, kind in FEATURES.items()))
+
+    return let(base, body)
 
 
 def extract_features(cells: DataFrame) -> DataFrame:
     """Normalized cells with the struct `feat`."""
-    return cells.withColumn("feat", F.struct(*(column.alias(name) for name, column in feature_columns(F.col("norm_value")).items())))
+    return cells.withColumn("feat", features(F.col("norm_value")))
 
 
 def scaled_features(feat: Column) -> dict[str, Column]:

@@ -6,7 +6,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from kinfold.functions.lexical import compact, extract_features, feature_columns, normalize, pattern
+from kinfold.functions.lexical import compact, extract_features, normalize, pattern
+from kinfold.functions.lexical import features as feature_struct
 from kinfold.options import LexicalOptions
 
 CASES = ["ab12", "A B", "hello-world", "", "(415) 555-1212", "abc123", "   ", "ABCDE", "x²①Ⅷ", "a b\tc", "naïve ÀÉ", "\U00010a40\U0001f600z", "aaaa", "a-b_c/d.e,f;g:h|i"]
@@ -14,7 +15,7 @@ CASES = ["ab12", "A B", "hello-world", "", "(415) 555-1212", "abc123", "   ", "A
 
 def features(spark, texts):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, norm_value string")
-    return [r for r in df.select("i", *(c.alias(n) for n, c in feature_columns(F.col("norm_value")).items())).orderBy("i").collect()]
+    return [r for r in df.select("i", feature_struct(F.col("norm_value")).alias("f")).select("i", "f.*").orderBy("i").collect()]
 
 
 def by_hand(text):
