@@ -3,26 +3,14 @@
 from __future__ import annotations
 
 import ctypes
-import gc
-import tempfile
+import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: The words of the contracts: runs of anything but U+0020 and U+0009..U+000D.
-WORD_PATTERN = r"[^\x20\x09-\x0D]+"
-SPACE_PATTERN = r"[\x20\x09-\x0D]+"
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's spark.checkpoint.dir; only where it is unset (tests), a temporary folder."""
-    context = spark.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isEmpty():
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="kinfold-checkpoints-"))
+from kinfold.operators.components import ensure_checkpoint_dir
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -35,6 +23,23 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def write_stage(df: DataFrame, folder: str) -> DataFrame:
+    """df written as Parquet to a folder, and read from it."""
+    df.write.mode("overwrite").parquet(folder)
+    return df.sparkSession.read.parquet(folder)
+
+
+def new_shared_folder(spark: SparkSession) -> str:
+    """A name in the shared checkpoint folder that no other run uses."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 #: Rows of a batch between the JVM and Python; rows here are texts, of a few KB on average.
 BATCH_ROWS = 1000
 
@@ -49,7 +54,6 @@ def text_batches(spark: SparkSession) -> SparkSession:
 
 def give_back() -> None:
     """Return freed memory of this Python worker, which Spark keeps for later tasks, to the machine."""
-    gc.collect()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
