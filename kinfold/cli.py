@@ -15,6 +15,8 @@ FLAGS = {
     "input_delimiter": "--delimiter",
     "skip_leading_columns": "--skip-leading-columns",
     "min_cluster_cohesion": "--cohesion",
+    "dbscan_eps": "--eps",
+    "dbscan_min_samples": "--min-samples",
     "output_format": "--output-format",
 }
 
@@ -25,6 +27,7 @@ def parser() -> argparse.ArgumentParser:
     out.add_argument("--output", required=True)
     out.add_argument("--has-header", dest="input_has_header", action="store_true", default=None)
     out.add_argument("--no-metrics", dest="metrics_enabled", action="store_false", default=None)
+    out.add_argument("--arcs-no-merge", dest="arcs_do_merge", action="store_false", default=None)
     for stage in fields(Options):
         for field in fields(type(getattr(Options(), stage.name))):
             if field.name in ("input_has_header", "metrics_enabled"):

@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 
 from kinfold.options import MergeOptions
 
+ROWS_PER_PARTITION = 50_000
+
 
 class NotConverged(RuntimeError):
     """The star rounds reached their limit while edges still changed."""
@@ -44,6 +46,12 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(lowest.select("src", F.col("low").alias("dst"))).distinct()
 
 
+def _compact(edges: DataFrame, rows: int) -> DataFrame:
+    """edges, of at most so many rows, in no more partitions than these need; a round writes as many files."""
+    most = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return edges.coalesce(max(1, min(most, -(-rows // ROWS_PER_PARTITION))))
+
+
 def _signature(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)"))).first())
 
@@ -59,7 +67,8 @@ def star_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     for _ in range(max_rounds):
         if not before[0]:
             break
-        state = _small_star(_large_star(state)).checkpoint()
+        # a round never adds edges
+        state = _compact(_small_star(_large_star(state)), before[0]).checkpoint()
         now = _signature(state)
         if now == before:
             break

@@ -77,10 +77,10 @@ def contribution(size: Column, weighting: str, corpus_size: int | None) -> Colum
 def weighted_edges(blocks: DataFrame, weighting: str = "uniform", corpus_size: int | None = None, max_block_pair_cost: int | None = 100_000) -> DataFrame:
     """Rows (src, dst, weight) with src < dst: the sum of the contributions of the blocks that both records are in.
 
-    The pair cost bounds what a block can emit, whatever its share of the records.
+    The pair cost bounds what a block can emit, whatever its share of the records; None or 0 and less lift the bound.
     """
     sized = with_size(blocks)
-    if max_block_pair_cost:
+    if max_block_pair_cost is not None and max_block_pair_cost > 0:
         sized = sized.where(F.col("size") * (F.col("size") - 1) / 2 <= max_block_pair_cost)
     weighed = sized.withColumn("part", contribution(F.col("size"), weighting, corpus_size)).where("part > 0").select("block_id", "record_id", "part")
     left = weighed.withColumnRenamed("record_id", "src")

@@ -93,3 +93,9 @@ def run(input_path: str, output_path: str, options: Options = Options(), spark:
             return report
         finally:
             cells.unpersist()
+
+
+def cluster_files(input_path: str, output_path: str, spark: SparkSession, options: Options = Options()) -> DataFrame:
+    """As `run`, and the clusters as read back from output_path; the session stays the caller's."""
+    run(input_path, output_path, options, spark)
+    return spark.read.format(options.run.output_format).load(output_path)

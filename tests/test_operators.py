@@ -52,6 +52,7 @@ def test_weights(spark):
     assert [(r.src, r.dst) for r in idf] == [(1, 2)] and idf[0].weight == pytest.approx(0.202733, abs=1e-5)
     assert redundancy.weighted_edges(blocks, max_block_pair_cost=2).count() == 1
     assert redundancy.weighted_edges(blocks, max_block_pair_cost=None).count() == 3
+    assert redundancy.weighted_edges(blocks, max_block_pair_cost=-1).count() == 3
 
 
 def test_refine_merge_purge(spark):

@@ -8,7 +8,7 @@ import pytest
 from kinfold import cli
 from kinfold.operators.cells import flatten
 from kinfold.options import Options, SourceOptions
-from kinfold.plans.engine import cluster_records, run
+from kinfold.plans.engine import cluster_files, cluster_records, run
 from kinfold.plans.session import session
 from kinfold.sources.readers import read_records, read_truth
 from kinfold.sources.writers import write_clusters, write_text_file
@@ -56,8 +56,7 @@ def test_run(spark, people):
 
 def test_run_density_json(spark, people):
     options = Options().with_overrides(input_has_header=True, input_format="csv", key_columns=("id",), output_format="json", metrics_enabled=False, dbscan_eps=0.1, vertices="blocked")
-    run(str(people / "people.csv"), str(people / "out"), options, spark)
-    assert "members" in spark.read.json(str(people / "out")).columns
+    assert "members" in cluster_files(str(people / "people.csv"), str(people / "out"), spark, options).columns
 
 
 def test_sinks(spark, tmp_path):
@@ -79,9 +78,10 @@ def test_empty_records(spark):
 
 
 def test_command_line():
-    arguments = cli.parser().parse_args("--input a --output b --format tsv --has-header --clustering-method arcs --arcs-tau 0.4 --no-metrics --cohesion 0.2 --no-emit-token-key --length-bucket-edges 1 5 9".split())
+    arguments = cli.parser().parse_args("--input a --output b --format tsv --has-header --clustering-method arcs --arcs-tau 0.4 --no-metrics --cohesion 0.2 --no-emit-token-key --length-bucket-edges 1 5 9 --eps 0.1 --min-samples 4 --arcs-no-merge --arcs-do-purge".split())
     options = cli.options_of(arguments)
     assert (options.source.input_format, options.source.input_has_header, options.redundancy.arcs_tau) == ("tsv", True, 0.4)
+    assert (options.density.dbscan_eps, options.density.dbscan_min_samples, options.redundancy.arcs_do_merge, options.redundancy.arcs_do_purge) == (0.1, 4, False, True)
     assert not options.run.metrics_enabled and not options.keys.emit_token_key and options.keys.length_bucket_edges == (1, 5, 9)
     with pytest.raises(SystemExit):
         cli.parser().parse_args(["--input", "a"])
