@@ -11,6 +11,9 @@ Sizes are words, runs of anything but U+0020 and U+0009..U+000D.  Sources in ord
 1, repeating; targets share `share` times all words by weight, a target stops at `most` times its source's words and the
 excess is shared again by weight.
 
+There is one row a source, and at most MOST_BLOCKS rows a source and pass, in what is planned before the rows are dealt:
+sources are ranked and filled up in one task, which takes some millions of sources, not a source for every document.
+
 Cases: a null text has size 0; null is a source of its own; sources without words have target 0 and give nothing; equal
 rows are taken together or apart, but every rerun takes as many; an empty table gives an empty table; other columns are
 carried along, and of them only those named like a result column are replaced.
@@ -24,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from kinfold.llm.common import cut_lineage
+from kinfold.llm.common import cut_lineage, shuffle_partitions
 
 #: A source has at most this many blocks, whatever its size; a power of two.
 MOST_BLOCKS = 4096
@@ -175,8 +178,16 @@ def _mixed(prepared: DataFrame, options: MixOptions) -> DataFrame:
 
 
 def take(docs: DataFrame, options: MixOptions = MixOptions()) -> DataFrame:
-    """The mix itself: each row of docs as often as it is taken, shard by shard, in random order within a shard."""
+    """The mix itself: each row of docs as often as it is taken, shard by shard, in random order within a shard.
+
+    A shard's random places are cut into as many pieces as give every task of a shuffle its share, so that shards may be
+    of any size; a partition's rows are in order of shard and place.
+    """
     rows = _mixed(_prepared(docs, docs.columns, options), options).select("row", F.posexplode("shards").alias("turn", "shard"))
-    shuffle = F.xxhash64(F.lit(options.seed), F.col("shard"), F.col("turn"), F.col("row.doc_id"), F.col("row.text"))
-    taken = rows.withColumn("place", shuffle).repartition(2**options.tree_depth, "shard").sortWithinPartitions("shard", "place")
-    return taken.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
+    place = F.xxhash64(F.lit(options.seed), F.col("shard"), F.col("turn"), F.col("row.doc_id"), F.col("row.text"))
+    shards = 2**options.tree_depth
+    pieces = -(-shuffle_partitions(docs.sparkSession) // shards)
+    piece = F.floor((F.col("place").cast("double") / 2.0**64 + 0.5) * pieces)
+    taken = rows.withColumn("place", place).withColumn("piece", piece)
+    dealt = taken.repartition(shards * pieces, "shard", "piece").sortWithinPartitions("shard", "piece", "place")
+    return dealt.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
