@@ -26,6 +26,9 @@ from kinfold.llm.common import Words, cut_lineage, text_runs, utf8_buffer
 #: The end-of-document id of the files that `flat_blocks` makes.
 END = 0xFFFFFFFF
 BLOCK_TOKENS = 1 << 16
+#: Records of a flat file should have this many ids; files of at most WHOLE_BYTES may be read whole instead.
+LEAST_RECORD = 1024
+WHOLE_BYTES = 1 << 26
 #: Texts are taken in runs of about this many bytes; a longer text is a run of its own.
 RUN_BYTES = 1 << 21
 #: Chunks of a file's blocks whose sums make up the prefix scan's upper level.
@@ -35,29 +38,36 @@ SCAN_WIDTH = 4096
 def read_flat_files(spark: SparkSession, path: str, token_bytes: int = 4, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """Flat files as rows (file, block, payload); path may name several files.
 
-    Files are cut where Spark cuts fixed-width records, so a file of any size is read by many tasks.
+    A file is cut into equal records of at most block_tokens ids, which Spark reads by many tasks.  A file whose length
+    allows no records of a useful size is read whole if it has WHOLE_BYTES at most, and by small records beyond.
     """
-    files = spark.read.format("binaryFile").load(path).select("path").distinct()
-    parts = None
-    for row in files.toLocalIterator():  # names of files, not their content
-        part = _read_one(spark, row.path, token_bytes, block_tokens)
-        parts = part if parts is None else parts.unionByName(part)
-    return parts if parts is not None else spark.createDataFrame([], "file string, block long, payload binary")
+    parts = spark.createDataFrame([], "file string, block long, payload binary")
+    for row in spark.read.format("binaryFile").load(path).select("path", "length").toLocalIterator():  # no content
+        if row.length % token_bytes:
+            raise ValueError(f"{row.path} is no whole number of ids long")
+        if row.length:
+            parts = parts.unionByName(_read_one(spark, row.path, row.length // token_bytes, token_bytes, block_tokens))
+    return parts
 
 
-def _read_one(spark: SparkSession, path: str, token_bytes: int, block_tokens: int) -> DataFrame:
-    def blocks(number: int, records):
-        held, block = [], 0
-        for record in records:
-            held.append(bytes(record))
-            if len(held) == block_tokens:
-                yield path, (number << 33) + block, b"".join(held)
-                held, block = [], block + 1
-        if held:
-            yield path, (number << 33) + block, b"".join(held)
+def _read_one(spark: SparkSession, path: str, n_tokens: int, token_bytes: int, block_tokens: int) -> DataFrame:
+    record = max(d for d in range(1, min(block_tokens, n_tokens) + 1) if n_tokens % d == 0)
+    if record < LEAST_RECORD and n_tokens * token_bytes <= WHOLE_BYTES:
 
-    records = spark.sparkContext.binaryRecords(path, token_bytes)
-    return spark.createDataFrame(records.mapPartitionsWithIndex(blocks), "file string, block long, payload binary")
+        def cut(batches):
+            for batch in batches:
+                for name, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                    raw = memoryview(content.as_buffer())
+                    for k, a in enumerate(range(0, len(raw), block_tokens * token_bytes)):
+                        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([k], pa.int64()), pa.array([bytes(raw[a : a + block_tokens * token_bytes])], pa.binary())], ["file", "block", "payload"])
+
+        return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(cut, "file string, block long, payload binary")
+
+    def numbered(part: int, records):
+        return ((path, (part << 33) + k, bytes(r)) for k, r in enumerate(records))
+
+    records = spark.sparkContext.binaryRecords(path, record * token_bytes)
+    return spark.createDataFrame(records.mapPartitionsWithIndex(numbered), "file string, block long, payload binary")
 
 
 def flat_blocks(docs: DataFrame, text_col: str = "text", block_tokens: int = BLOCK_TOKENS) -> DataFrame:
@@ -78,12 +88,13 @@ def flat_blocks(docs: DataFrame, text_col: str = "text", block_tokens: int = BLO
             ids[ids == END] = 0
             held.append(np.insert(ids, words.first + words.counts, END))
             size += len(held[-1])
-            while size >= block_tokens:
+            if size >= block_tokens:
                 stream = np.concatenate(held)
-                out, held = stream[:block_tokens], [stream[block_tokens:]]
-                size -= block_tokens
-                yield _block(file, block, out)
-                block += 1
+                for a in range(0, size - block_tokens + 1, block_tokens):
+                    yield _block(file, block, stream[a : a + block_tokens])
+                    block += 1
+                size %= block_tokens
+                held = [stream[len(stream) - size :].copy()]
         if size:
             yield _block(file, block, np.concatenate(held))
 

@@ -70,8 +70,9 @@ def lengths_by_hand(ids, end):
     return out + ([(size, False)] if size else [])
 
 
-@pytest.mark.parametrize("block,kind", [(1, "<u4"), (3, "<u2"), (7, "<u4"), (1000, "<u4")])
-def test_flat_files(spark, tmp_path, block, kind):
+@pytest.mark.parametrize("block,kind,whole", [(1, "<u4", 0), (3, "<u2", 1 << 20), (7, "<u4", 1 << 20), (7, "<u4", 0), (1000, "<u4", 0)])
+def test_flat_files(spark, tmp_path, monkeypatch, block, kind, whole):
+    monkeypatch.setattr(token_scan, "WHOLE_BYTES", whole)
     rnd = random.Random(block)
     expected = {}
     for k, n in enumerate((0, 1, 500, 300)):
