@@ -40,8 +40,8 @@ RUN_BYTES = 2_000_000
 HELD_LINKS = 2_000_000
 
 
-def text_fingerprints(data: np.ndarray, offsets: np.ndarray, shingle: int = SHINGLE) -> np.ndarray:
-    """The fingerprint of each text of a buffer."""
+def shingle_hashes(data: np.ndarray, offsets: np.ndarray, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of the shingles of each text of a buffer, one text after the other, and how many each text has."""
     words = Words(data, offsets, lower=True)
     sizes = np.where(words.counts >= shingle, words.counts - shingle + 1, np.minimum(words.counts, 1))
     texts = np.repeat(np.arange(len(sizes)), sizes)
@@ -50,6 +50,12 @@ def text_fingerprints(data: np.ndarray, offsets: np.ndarray, shingle: int = SHIN
     tail = head + np.minimum(words.counts[texts], shingle) - 1
     raw, digest = memoryview(words.data.tobytes()), xxhash.xxh64_intdigest
     hashes = np.fromiter((digest(raw[a:b], 42) for a, b in zip(words.starts[head].tolist(), words.ends[tail].tolist(), strict=True)), np.uint64, len(head))
+    return hashes, sizes
+
+
+def text_fingerprints(data: np.ndarray, offsets: np.ndarray, shingle: int = SHINGLE) -> np.ndarray:
+    """The fingerprint of each text of a buffer."""
+    hashes, sizes = shingle_hashes(data, offsets, shingle)
     out = np.zeros(len(sizes), np.uint64)
     some = np.flatnonzero(sizes)
     if len(some):
