@@ -5,8 +5,10 @@ an ending never seen before still counts).  The score is the logistic of
 
     w0 + sum_i w_i x_i + sum_{i<j} <v_i, v_j> x_i x_j
 
-so that two terms together (an insult with a group mention) can weigh more, or less, than the sum of both.  Terms that
-the labelled sample doesn't tell apart have no weight, which leaves a model of at most MAX_TERMS rows.
+so that two terms together (an insult with a group mention) can weigh more, or less, than the sum of both.  A term has
+weight if the labels of the sample's documents with it differ from the others' (|z| of min_z or more), or if it is in a
+pair whose documents' labels differ from those of all documents and of either term's (each by a log likelihood ratio of
+pair_evidence or more; all pairs are counted).
 
 The model is fitted on a bounded sample of the labelled documents: at most `sample_per_class` of each label, those with
 the smallest hash of doc_id.  Scores cover every whole text.  Labels, lang, source and doc_id are never inputs.
@@ -31,7 +33,6 @@ from kinfold.llm.common import give_back
 
 HASH_BITS = 20
 PREFIXES = range(3, 8)
-MAX_TERMS = 20_000
 TERM = re.compile(r"\w+")
 #: Words known to a worker before its cache starts anew.
 CACHE_WORDS = 100_000
@@ -47,6 +48,8 @@ class FitOptions:
     decay: float = 1e-4
     min_texts: int = 4
     min_z: float = 3.0
+    #: At least; where more pairs are compared, the logarithm of their number counts (at most one by chance).
+    pair_evidence: float = 16.0
     seed: int = 7
 
 
@@ -109,6 +112,74 @@ def fit(docs: DataFrame, labels: DataFrame, options: FitOptions = FitOptions())
     return fit_rows(*_sample(docs, labels, options), options)
 
 
+def _evidence(toxic: np.ndarray, seen: np.ndarray, share: np.ndarray | float) -> np.ndarray:
+    """Log likelihood ratio of a share of toxic / seen against `share`, negative where it is lower."""
+    own = toxic / seen
+    share = np.clip(share, 1e-9, 1 - 1e-9)
+    ratio = toxic * np.log(np.maximum(own, 1e-300) / share) + (seen - toxic) * np.log(np.maximum(1 - own, 1e-300) / (1 - share))
+    return np.where(own < share, -ratio, ratio)
+
+
+def paired_terms(y: np.ndarray, terms: list[np.ndarray], often: np.ndarray, least: float) -> np.ndarray:
+    """Those of the terms `often` that are in a pair which tells more of the label than both its terms and than no term."""
+    n, share = len(y), y.mean()
+    size = np.array([len(own) for own in terms])
+    bucket, doc = np.concatenate(terms).astype(np.int64), np.repeat(np.arange(n), size)
+    index = np.full(1 << HASH_BITS, -1)
+    index[often] = np.arange(len(often))
+    some = index[bucket] >= 0
+    column, doc = index[bucket[some]], doc[some]
+    # terms of the same documents (a word and its prefixes) are one column; marks are random, two of 62 bits for each document
+    marks = np.random.default_rng(0).integers(0, 1 << 62, (2, n))
+    sums = [np.zeros(len(often), np.int64) for _ in marks]
+    for total, mark in zip(sums, marks, strict=True):
+        np.add.at(total, column, mark[doc])
+    _, first, same = np.unique(np.stack(sums, 1), axis=0, return_index=True, return_inverse=True)
+    same = same.ravel()
+    keep = first[same[column]] == column
+    column, doc = same[column[keep]], doc[keep]
+    seen, toxic = np.bincount(column, minlength=len(first)), np.bincount(column, y[doc], len(first))
+    own_share = toxic / np.maximum(seen, 1)
+    # the most that any pair of a term can reach: all its toxic documents and no other, or all its clean ones and no other
+    reach = np.maximum(toxic * -np.log(np.maximum(own_share, share)), (seen - toxic) * -np.log(1 - np.minimum(own_share, share)))
+    able = np.flatnonzero(reach >= least)
+    least = max(least, 2 * np.log(max(len(able), 1)) - np.log(2))
+    able = np.flatnonzero(reach >= least)
+    fewest = least / -np.log(min(share, 1 - share))
+    # from the most frequent to the rarest, so that the later ones of a document are few
+    able = able[np.argsort(-seen[able], kind="stable")]
+    place = np.full(len(first), -1)
+    place[able] = np.arange(len(able))
+    some = place[column] >= 0
+    column, doc, own_share = place[column[some]].astype(np.int32), doc[some], own_share[able]
+    order = np.lexsort((column, doc))
+    flat, ends = column[order], np.cumsum(np.bincount(doc, minlength=n))
+    # of each column, where its entries are in flat
+    home = np.argsort(flat, kind="stable")
+    cuts = np.searchsorted(flat[home], np.arange(len(able) + 1))
+    owner = doc[order]
+    found = np.zeros(len(able), bool)
+    for k in range(len(able) - 1):
+        at = home[cuts[k] : cuts[k + 1]]
+        docs_of, left = owner[at], len(able) - k - 1
+        counts = []
+        for label in (y[docs_of] > 0, y[docs_of] <= 0):
+            later = [flat[i:e] for i, e in zip((at[label] + 1).tolist(), ends[docs_of[label]].tolist(), strict=True)]
+            counts.append(np.bincount(np.concatenate(later) - (k + 1), minlength=left) if later else np.zeros(left, np.int64))
+        both = counts[0] + counts[1]
+        others = np.flatnonzero(both >= fewest)
+        if not len(others):
+            continue
+        t, c = counts[0][others].astype(float), both[others].astype(float)
+        others += k + 1
+        against = np.stack([_evidence(t, c, share), _evidence(t, c, own_share[k]), _evidence(t, c, own_share[others])])
+        hit = others[(against.min(0) >= least) | (against.max(0) <= -least)]
+        if len(hit):
+            found[k] = True
+            found[hit] = True
+    return often[np.isin(same, able[found])]
+
+
 def fit_rows(y: np.ndarray, terms: list[np.ndarray], options: FitOptions) -> Machine:
     n, positive = len(y), float(y.sum())
     none = np.zeros(0, np.int64)
@@ -120,8 +191,8 @@ def fit_rows(y: np.ndarray, terms: list[np.ndarray], options: FitOptions) -> Mac
         seen[own] += 1
         toxic[own] += label
     z = (toxic - seen * share) / np.sqrt(seen * share * (1 - share) + 1e-9)
-    useful = np.flatnonzero((seen >= options.min_texts) & (np.abs(z) >= options.min_z))
-    chosen = np.sort(useful[np.argsort(-np.abs(z[useful]), kind="stable")][:MAX_TERMS])
+    often = seen >= options.min_texts
+    chosen = np.union1d(np.flatnonzero(often & (np.abs(z) >= options.min_z)), paired_terms(y, terms, np.flatnonzero(often), options.pair_evidence))
     index = np.full(1 << HASH_BITS, -1)
     index[chosen] = np.arange(len(chosen))
     kept = [index[own][index[own] >= 0] for own in terms]

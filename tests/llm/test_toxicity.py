@@ -75,3 +75,19 @@ def test_pairs_that_no_sum_of_weights_can_tell():
     at = {int(t): k for k, t in enumerate(machine.terms)}
     score = lambda *t: machine.scores(np.array([at[x] for x in t]), np.zeros(len(t), int), 1)[0]
     assert min(score(10, 20), score(11, 21)) > 0.5 > max(score(10, 21), score(11, 20))
+
+
+def test_a_pair_of_terms_without_a_signal_of_their_own():
+    """Two terms never together in clean documents and together in 45 toxic ones, with the options of production."""
+    rnd = np.random.default_rng(3)
+    terms, y = [], []
+    for i in range(6000):
+        own, toxic = set((100 + rnd.choice(400, 12, replace=False)).tolist()), i >= 3000
+        own |= {10} if i < 60 else {20} if i < 120 else {10, 20} if 3000 <= i < 3045 else {30} if toxic else set()
+        terms.append(np.array(sorted(own)))
+        y.append(float(toxic))
+    machine = toxicity.fit_rows(np.array(y), terms, FitOptions())
+    at = {int(t): k for k, t in enumerate(machine.terms)}
+    assert {10, 20} <= at.keys() and not set(range(100, 500)) <= at.keys()
+    score = lambda *t: machine.scores(np.array([at[x] for x in t]), np.zeros(len(t), int), 1)[0]
+    assert score(10, 20) > 0.5 > max(score(10), score(20))
