@@ -9,6 +9,7 @@ are ever gathered in one place.  Every round is cut from its lineage by a checkp
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,9 +25,19 @@ class NotConverged(RuntimeError):
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """The checkpoint folder that spark.checkpoint.dir names; a temporary one only where all executors are the driver."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="kinfold-checkpoints-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context._jsc.sc().isLocal():
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="kinfold-checkpoints-"))
+
+
+def new_shared_folder(spark: SparkSession) -> str:
+    """A name in the shared checkpoint folder that no other run uses."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{uuid.uuid4().hex}"
 
 
 def _simple_edges(edges: DataFrame) -> DataFrame:
@@ -103,9 +114,10 @@ def connected_components(edges: DataFrame, vertices: DataFrame | None = None, op
     simple = edges.where("src != dst").select("src", "dst").distinct()
     strategy = options.merge_strategy
     if strategy == "auto":
-        # one row beyond the limit is enough to know
-        few = simple.limit(options.merge_local_edge_limit + 1).count() <= options.merge_local_edge_limit
-        strategy = "local" if few else "star"
+        # the edges are computed once, for the count and for what follows
+        ensure_checkpoint_dir(edges.sparkSession)
+        simple = simple.checkpoint()
+        strategy = "local" if simple.count() <= options.merge_local_edge_limit else "star"
     found = local_components(simple) if strategy == "local" else star_components(simple, options.cc_max_iterations)
     found = found.select(F.col("node").alias("record_id"), F.col("component").alias("cluster_id"))
     if vertices is None:

@@ -100,12 +100,13 @@ class RedundancyOptions:
 
 @dataclass(frozen=True)
 class MergeOptions:
+    #: starstar is another name of star; auto takes local up to the limit, whose edges then fit on any driver.
     merge_strategy: str = "auto"
     merge_local_edge_limit: int = 5_000_000
     cc_max_iterations: int = 50
 
     def __post_init__(self):
-        _one_of("merge_strategy", self.merge_strategy, ("auto", "local", "star"))
+        _one_of("merge_strategy", self.merge_strategy, ("auto", "local", "star", "starstar"))
         _at_least("merge_local_edge_limit", self.merge_local_edge_limit, 0)
         _at_least("cc_max_iterations", self.cc_max_iterations, 1)
 

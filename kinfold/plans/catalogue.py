@@ -12,20 +12,21 @@ from kinfold.functions.lexical import extract_features, normalize, scaled_featur
 from kinfold.operators import density, keys, redundancy, scoring
 from kinfold.operators.cells import flatten, reference_ids
 from kinfold.operators.clusters import aggregate_clusters, filter_clusters
-from kinfold.operators.components import connected_components, ensure_checkpoint_dir
-from kinfold.options import ClusterOptions, DensityOptions, KeyOptions, MergeOptions, Options
-from kinfold.plans.engine import cluster_records
-from kinfold.sources.readers import CELLS, with_record_id
+from kinfold.operators.components import connected_components, new_shared_folder
+from kinfold.options import ClusterOptions, DensityOptions, KeyOptions, LexicalOptions, MergeOptions, Options, RedundancyOptions, SourceOptions
+from kinfold.plans.engine import cluster_records, run
+from kinfold.sources.readers import CELLS, read_records, read_truth, with_record_id
+from kinfold.sources.writers import write_clusters
 
 #: The data columns and the key of each table that the queries take as records.
 TABLES = {
     "customer": ("c_custkey", ("c_name", "c_nationkey", "c_acctbal", "c_mktsegment")),
     "part": ("p_partkey", ("p_name", "p_brand", "p_type", "p_size")),
     "documents": ("doc_id", ("text",)),
+    "supplier": ("s_suppkey", ("s_name", "s_nationkey", "s_acctbal")),
 }
-PREFIX_ONLY = KeyOptions(emit_pattern_key=False, emit_compressed_pattern_key=False, emit_length_key=False, emit_token_key=False)
-#: Keys that tell the customers apart well enough for small blocks.
-FINE_KEYS = KeyOptions(prefix_len=5, emit_length_key=False, emit_token_key=False, emit_compressed_pattern_key=False, max_block_size=400)
+#: Texts of documents are taken whole; only norm_truncated cuts them, as the engine does by default.
+LENGTHS = {"documents": LexicalOptions(max_value_length=2**31 - 1)}
 DIGITS = 6
 
 
@@ -40,7 +41,7 @@ def cells(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def normalized(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return normalize(cells(spark, sf_dir, table))
+    return normalize(cells(spark, sf_dir, table), LENGTHS.get(table, LexicalOptions()))
 
 
 def featured(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -52,7 +53,7 @@ def keyed(spark: SparkSession, sf_dir: str, table: str, options: KeyOptions = Ke
 
 
 def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return redundancy.initial_blocks(keyed(spark, sf_dir, "customer", FINE_KEYS))
+    return redundancy.initial_blocks(keyed(spark, sf_dir, "customer"))
 
 
 def _long(df: DataFrame, *names: str) -> DataFrame:
@@ -84,7 +85,7 @@ def ref_id_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def norm_values(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return normalized(spark, sf_dir, table).select("record_id", "col_index", "norm_value")
+    return normalize(cells(spark, sf_dir, table)).select("record_id", "col_index", "norm_value")
 
 
 def features(spark: SparkSession, sf_dir: str, table: str, names: tuple[str, ...]) -> DataFrame:
@@ -125,7 +126,7 @@ def record_key_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def refine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = keyed(spark, sf_dir, "customer", FINE_KEYS)
+    base = keyed(spark, sf_dir, "customer")
     return redundancy.refine_blocks(redundancy.initial_blocks(base), redundancy.record_keys(base), 2).select("block_id", "record_id")
 
 
@@ -153,20 +154,19 @@ def edges(spark: SparkSession, sf_dir: str, weighting: str = "uniform", cost: in
 
 
 def eps_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors, _ = density.block_vectors(keyed(spark, sf_dir, "customer", PREFIX_ONLY))
-    near = density.neighbours(vectors, 0.1)
+    vectors, _ = density.block_vectors(keyed(spark, sf_dir, "customer"))
+    near = density.both_ways(density.neighbours(vectors, 0.1))
     return near.groupBy("block_key", F.col("a_rep").alias("rep")).agg(F.count("*").alias("vectors"), F.sum("b_copies").alias("cells"))
 
 
 def dbscan_cores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors, _ = density.block_vectors(keyed(spark, sf_dir, "customer", PREFIX_ONLY))
+    vectors, _ = density.block_vectors(keyed(spark, sf_dir, "customer"))
     core = density.core_vectors(density.neighbours(vectors, 0.05), 5)
     return core.join(vectors, ["block_key", "vector_id"]).select("block_key", "rep", "neighbours")
 
 
-def dbscan_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ensure_checkpoint_dir(spark)
-    found = density.density_edges(keyed(spark, sf_dir, "customer", PREFIX_ONLY), DensityOptions(dbscan_eps=0.05))
+def dbscan_clusters(spark: SparkSession, sf_dir: str, eps: float = 0.05, least: int = 2) -> DataFrame:
+    found = density.density_edges(keyed(spark, sf_dir, "customer"), DensityOptions(dbscan_eps=eps, dbscan_min_samples=least))
     return connected_components(found, records(spark, sf_dir, "customer").select("record_id"), MergeOptions("star"))
 
 
@@ -217,11 +217,92 @@ def dist_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def end_to_end(spark: SparkSession, sf_dir: str, method: str) -> DataFrame:
-    options = Options(keys=FINE_KEYS).with_overrides(clustering_method=method, dbscan_eps=0.05)
+    options = Options().with_overrides(clustering_method=method)
     found = cluster_records(records(spark, sf_dir, "customer"), options)
     return found.select("cluster_id", "size", F.round("cohesion", DIGITS - 1).alias("cohesion"))
 
 
+def recursive_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks refined twice, merged and purged after each step."""
+    options = RedundancyOptions(arcs_max_recursion_depth=2, arcs_do_purge=True, arcs_tau=0.0)
+    return redundancy.redundancy_edges(keyed(spark, sf_dir, "supplier"), options).withColumn("weight", F.round("weight", DIGITS))
+
+
+#: The table that each reader is tried on, and how it is written first.
+FORMATS: dict[str, tuple[str, SourceOptions]] = {
+    "csv": ("part", SourceOptions("csv", input_has_header=True)),
+    "tsv": ("customer", SourceOptions("tsv")),
+    "text": ("part", SourceOptions("text")),
+    "parquet": ("supplier", SourceOptions("parquet")),
+}
+
+
+def _written(spark: SparkSession, sf_dir: str, table: str, options: SourceOptions) -> str:
+    """The key and data columns of a table as files of a format, in the shared folder."""
+    key, columns = TABLES[table]
+    rows = spark.read.parquet(f"{sf_dir}/{table}.parquet").select(key, *columns)
+    path, kind = f"{new_shared_folder(spark)}/{table}", options.input_format
+    if kind == "parquet":
+        rows.write.parquet(path)
+    elif kind == "text":
+        rows.select(F.concat_ws(";", *rows.columns).alias("value")).write.text(path)
+    else:
+        rows.write.option("sep", "\t" if kind == "tsv" else options.input_delimiter).option("header", options.input_has_header).csv(path)
+    return path
+
+
+def source_cells(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """Files read by their reader; cells named by the reference id in the first column, which is skipped."""
+    table, options = FORMATS[kind]
+    read = read_records(spark, _written(spark, sf_dir, table, options), options).checkpoint()
+    return flatten(read, 1).join(reference_ids(read, 0), "record_id").select("ref_id", "col_index", "value")
+
+
+def _truth_file(truth: DataFrame, spark: SparkSession) -> str:
+    path = f"{new_shared_folder(spark)}/truth"
+    truth.toDF("refID", "truthID").write.option("header", True).csv(path)
+    return path
+
+
+def source_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_truth(spark, _truth_file(_truth(spark, sf_dir), spark))
+
+
+def sink(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """Clusters written in a format and read again."""
+    path = f"{new_shared_folder(spark)}/clusters"
+    write_clusters(aggregate_clusters(_assignments(spark, sf_dir), featured(spark, sf_dir, "part")), path, kind)
+    return spark.read.format(kind).load(path).select("cluster_id", "size", F.concat_ws(",", F.col("members").cast("array<string>")).alias("members"))
+
+
+def _run(spark: SparkSession, sf_dir: str) -> str:
+    """A whole run from a file to the folder of its results."""
+    truth = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").cast("string"), F.col("c_nationkey").cast("string"))
+    options = Options().with_overrides(input_format="csv", input_has_header=True, skip_leading_columns=1, clustering_method="arcs", merge_strategy="starstar", arcs_tau=0.23, truth_file=_truth_file(truth, spark))
+    output = f"{new_shared_folder(spark)}/run"
+    run(_written(spark, sf_dir, "customer", options.source), output, options, spark)
+    return output
+
+
+def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The numbers of metrics.json."""
+    report = spark.read.option("multiLine", True).json(f"{_run(spark, sf_dir)}/_metrics/metrics.json")
+    return report.select(F.col("predicted_clusters.n_total").alias("n_predicted"), F.col("truth_clusters.n_total").alias("n_truth"), "pair_metrics.*")
+
+
+def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sizes of the found clusters in the order of metrics.log."""
+    log = spark.read.text(f"{_run(spark, sf_dir)}/_metrics/metrics.log", wholetext=True)
+    part = F.split(F.split("value", "== predicted clusters\n")[1], "\n==")[0]
+    lines = log.select(F.posexplode(F.regexp_extract_all(part, F.lit("size (\\d+: \\d+)"))).alias("place", "line"))
+    return lines.select("place", *(F.split("line", ": ")[k].cast("long").alias(n) for k, n in enumerate(("size", "clusters"))))
+
+
+def run_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sizes of a run's clusters as read again from its output."""
+    return spark.read.parquet(_run(spark, sf_dir)).groupBy("size").agg(F.count("*").alias("clusters"))
+
+
 COUNTS, RATIOS = ("length", "token_count", "unique_chars"), ("digit_ratio", "alpha_ratio", "symbol_ratio", "space_ratio", "upper_ratio", "vowel_ratio")
 
 
@@ -262,6 +343,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "eps_neighbours": eps_neighbours,
         "dbscan_cores": dbscan_cores,
         "dbscan_clusters": dbscan_clusters,
+        "dbscan_border": partial(dbscan_clusters, eps=0.02, least=12),
         "components_local": partial(components, strategy="local"),
         "components_star": partial(components, strategy="star"),
         "cluster_stats": cluster_stats,
@@ -269,6 +351,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pair_metrics": pair_metrics,
         "dist_predicted": dist_predicted,
         "dist_truth": dist_truth,
+        "arcs_recursion": recursive_edges,
+        **{f"source_{kind}": partial(source_cells, kind=kind) for kind in FORMATS},
+        "source_truth": source_truth,
+        "sink_parquet": partial(sink, kind="parquet"),
+        "sink_json": partial(sink, kind="json"),
+        "run_metrics": run_metrics,
+        "run_log": run_log,
+        "run_clusters": run_clusters,
         "end_to_end_arcs": partial(end_to_end, method="arcs"),
         "end_to_end_dbscan": partial(end_to_end, method="dbscan"),
     }

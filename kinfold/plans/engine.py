@@ -35,8 +35,9 @@ def featured_cells(records: DataFrame, options: Options = Options()) -> DataFram
     return extract_features(normalize(flatten(records, options.source.skip_leading_columns), options.lexical))
 
 
-def plan(records: DataFrame, options: Options = Options()) -> Stages:
-    cells = featured_cells(records, options)
+def plan(records: DataFrame, options: Options = Options(), cells: DataFrame | None = None) -> Stages:
+    """cells: the featured cells of records if a caller holds them already."""
+    cells = featured_cells(records, options) if cells is None else cells
     keyed = guard_blocks(generate_keys(cells, options.keys), options.keys)
     if options.run.clustering_method == "arcs":
         edges = redundancy_edges(keyed, options.redundancy, options.keys.min_block_size).select("src", "dst")
@@ -54,7 +55,8 @@ def assign(stages: Stages, edges: DataFrame, options: Options = Options()) -> Da
 def cluster_records(records: DataFrame, options: Options = Options()) -> DataFrame:
     """The filtered clusters of a table of records (record_id, source, data columns)."""
     ensure_checkpoint_dir(records.sparkSession)
-    stages = plan(records, options)
+    # keys, vertices and spreads all read the cells; they are featured once
+    stages = plan(records, options, featured_cells(records, options).checkpoint())
     edges = stages.edges.checkpoint()
     return filter_clusters(aggregate_clusters(assign(stages, edges, options), stages.cells, options.clusters.max_cluster_size), options.clusters)
 

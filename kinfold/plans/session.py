@@ -16,6 +16,7 @@ def session(spark: SparkSession | None = None, shuffle_partitions: int = 400, ch
         return
     builder = SparkSession.builder.appName("kinfold").config("spark.sql.shuffle.partitions", shuffle_partitions)
     builder = builder.config("spark.sql.adaptive.enabled", True).config("spark.sql.adaptive.skewJoin.enabled", True).config("spark.sql.adaptive.coalescePartitions.enabled", True)
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", True)
     if checkpoint_dir:
         builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
     own = builder.getOrCreate()

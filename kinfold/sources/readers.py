@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window
 
 from kinfold.options import SourceOptions
 
 RESERVED = ("record_id", "source")
 CELLS = "_cells"
+#: A file of a parquet scan may have 2 ** ROW_BITS rows, and a scan 2 ** (63 - ROW_BITS) files.
+ROW_BITS = 38
 TRUTH_SCHEMA = T.StructType([T.StructField("ref_id", T.StringType(), False), T.StructField("truth_id", T.StringType(), False)])
 
 
@@ -22,8 +25,9 @@ def _key(columns: list[str], df: DataFrame) -> Column:
 def with_record_id(df: DataFrame, key_columns: tuple[str, ...] = (), source: str | None = None, has_file: bool = True) -> DataFrame:
     """df with record_id and source; of data columns with these names the values are replaced.
 
-    record_id comes from the key columns if given (one integer column as it is, else a 64-bit hash), else from file and
-    row of a parquet scan, else from Spark's row number, which a checkpoint then keeps fixed for the run.
+    record_id comes from the key columns if given (one integer column as it is, else a 64-bit hash: among n keys about
+    n * n / 4e19 pairs share one), else from file and row of a parquet scan, else from Spark's row number, which a
+    checkpoint then keeps fixed for the run.
     """
     if key_columns:
         record = _key(list(key_columns), df)
@@ -33,6 +37,17 @@ def with_record_id(df: DataFrame, key_columns: tuple[str, ...] = (), source: str
     return df.withColumns({"record_id": record, "source": name})
 
 
+def _numbered(df: DataFrame, source: str | None) -> DataFrame:
+    """A parquet scan with record_id = file number * 2 ** ROW_BITS + row, the files in order of their paths: no two are equal."""
+    named = df.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+    # a row for each file; only their names are ordered in one task
+    files = df.select(F.col("_metadata.file_path").alias("__path")).distinct()
+    files = files.select("__path", (F.row_number().over(Window.orderBy("__path")) - 1).cast("long").alias("__number"))
+    packed = F.when(F.col("__row") < 1 << ROW_BITS, F.shiftleft("__number", ROW_BITS) + F.col("__row")).otherwise(F.raise_error(F.lit(f"a file has more than 2 ** {ROW_BITS} rows")).cast("long"))
+    keyed = named.join(files, F.col("__file") == F.col("__path")).withColumns({"record_id": packed, "source": F.lit(source) if source is not None else F.col("__file")})
+    return keyed.drop("__file", "__row", "__path", "__number")
+
+
 def read_records(spark: SparkSession, path: str, options: SourceOptions = SourceOptions(), source: str | None = None) -> DataFrame:
     """Rows of the input with record_id and source; free text as one array column."""
     kind = options.input_format.lower()
@@ -42,9 +57,7 @@ def read_records(spark: SparkSession, path: str, options: SourceOptions = Source
     elif kind == "parquet":
         df = spark.read.parquet(path)
         if not options.key_columns:
-            named = df.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
-            keyed = named.withColumns({"record_id": F.xxhash64("__file", "__row"), "source": F.lit(source) if source is not None else F.col("__file")})
-            return keyed.drop("__file", "__row")
+            return _numbered(df, source)
     else:
         line = F.col("value")
         cells = F.split(line, options.text_split_regex) if options.text_split_regex else F.array(line)
