@@ -1,19 +1,20 @@
 r"""Repeated word passages located by Aho-Corasick automata, all but their first occurrence removed.
 
-Windows of `window` consecutive words that may recur are found by their cores (kinfold.llm.windows).  Each bucket is then
-a shard: it confirms which of its windows occur more than once, word for word, compiles an automaton of those passages
-with pyahocorasick, and streams through it the contexts of every document that holds one of its cores, so that the
-automaton reports every occurrence with its place.  A document meets the shards that can hold one of its passages, and
-no others.  In a shard a core, which all its windows contain, is one symbol, named by 128 bits; the other words are
-symbols by what they are.
+1. Confirm: windows of `window` consecutive words that may recur meet in the bucket of their core (kinfold.llm.windows).
+   There those that occur more than once are found, the words left and right of the core one by one, the core by its
+   128-bit name.  Neighbouring windows that recur side by side make one passage; its first occurrence is noted.
+2. Compile: every block of documents gets the passages that can occur in it, those whose cores it holds, and compiles
+   them to automata (pyahocorasick), in shards of at most SHARD_WORDS words.
+3. Stream: every document of the block goes whole through each of these automata, which report every occurrence of every
+   passage, word for word.  An automaton for a block costs what the block holds, however large the corpus is.
 
 Of a passage's occurrences the first stays: smallest doc_id, then smallest start.  Every window of a later occurrence
 covers words to remove; windows are judged on the input, not on what is left.
 
 Cases: words are runs of anything but U+0020 and U+0009..U+000D, compared unchanged; null, empty and blank texts have no
 words; a text shorter than a window keeps all; rows that share a doc_id are one document as to order, so of equal starts
-neither is earlier and both stay; null ids come last and share one place in the order; doc_id must be an integer for
-this, other types count as null; an empty table gives an empty table; other columns are not read.
+neither is earlier and both stay; null ids come last and share one place in the order; an id that isn't an integer raises
+ValueError; an empty table gives an empty table; other columns are not read.
 """
 
 from __future__ import annotations
@@ -22,103 +23,131 @@ import ahocorasick
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.llm.windows import MULTIPLIER, Block, Exchange, Sent, Shape, covered, find_repeats, mixed
+from kinfold.llm.common import ranges, space_mask
+from kinfold.llm.windows import Answers, Block, Exchange, Sent, Shape, covered, find_repeats
 
 WINDOW = 20
-
-
-def _symbols(sent: Sent, rows: np.ndarray, core_id: np.ndarray, reach: int) -> np.ndarray:
-    """A line of symbols for each phrase, its core in column reach - 1; 0 where the phrase has no word."""
-    left, right = sent.left[rows], sent.last[rows] - sent.left[rows] + reach - 1
-    words = (sent.contexts(rows, 0) + b" " + sent.contexts(rows, 1)).split()
-    number = pd.factorize(np.array([*words, None], object)[:-1])[0] + len(rows) + 1
-    lines = np.zeros((len(rows), 2 * reach - 1), np.int64)
-    row = np.repeat(np.arange(len(rows)), left)
-    lines[row, np.arange(len(row)) - np.repeat(np.cumsum(left) - left, left) + (reach - 1 - left)[row]] = number[: len(row)]
-    row = np.repeat(np.arange(len(rows)), right)
-    lines[row, np.arange(len(row)) - np.repeat(np.cumsum(right) - right, right) + reach] = number[len(number) - len(row) :]
-    lines[:, reach - 1] = core_id
+#: Words of the passages that one automaton holds.
+SHARD_WORDS = 500_000
+#: A passage in a phrase: its first and last window there, and where it stands first in the corpus.
+PASSAGE = np.dtype([("low", "u1"), ("high", "u1"), ("doc_id", "<i8"), ("place", "<i8")])
+
+
+def _word_lines(sent: Sent, rows: np.ndarray, side: int, counts: np.ndarray, width: int) -> np.ndarray:
+    """The words left (0) or right (2) of the core as numbers from 1, from the core outwards; 0 beyond the phrase."""
+    number = pd.factorize(np.array([*sent.contexts(rows, side).split(), None], object)[:-1])[0] + 1
+    lines = np.zeros((len(rows), width), np.int64)
+    row = np.repeat(np.arange(len(rows)), counts)
+    at = ranges(np.zeros(len(rows), np.int64), counts)
+    lines[row, counts[row] - 1 - at if side == 0 else at] = number
     return lines
 
 
-def _passages(lines: np.ndarray, left: np.ndarray, last: np.ndarray, many: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The candidates: line, first window, and number of further windows of each passage, told apart by hashes.
-
-    Neighbouring windows that the same lines hold make one passage, so that a passage is as long as it recurs.
-    """
-    odd = np.uint64(MULTIPLIER) ** np.arange(lines.shape[1], dtype=np.uint64)
-    sums = np.concatenate([np.zeros((len(lines), 1), np.uint64), np.cumsum(mixed(lines.astype(np.uint64)) * odd, axis=1)], axis=1)
-    sizes = last + 1
-    line = np.repeat(np.arange(len(lines)), sizes)
-    at = np.arange(len(line)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    column = (reach - 1 - left)[line] + at
-    _, window, counts = np.unique(mixed(sums[line, column + reach] - sums[line, column] + column.astype(np.uint64)), return_inverse=True, return_counts=True)
-    order = np.argsort(window, kind="stable")
-    holders = np.add.reduceat(mixed(line.astype(np.uint64) + np.uint64(1))[order], np.cumsum(counts) - counts)[window]
-    recurs = (counts[window] > 1) | many[line]
-    goes_on = np.concatenate([[False], recurs[1:] & recurs[:-1] & (line[1:] == line[:-1]) & (holders[1:] == holders[:-1])])
-    heads = np.flatnonzero(recurs & ~goes_on)
-    run = np.cumsum(recurs & ~goes_on) - 1
-    more = np.bincount(run[recurs], minlength=len(heads)) - 1
-    _, one = np.unique(window[heads], return_index=True)
-    return line[heads[one]], at[heads[one]], more[one]
+def _prefix_classes(core: np.ndarray, lines: np.ndarray) -> list[np.ndarray]:
+    """For every k a number for each line, equal for lines of one core that share their first k words."""
+    out = [core]
+    for k in range(lines.shape[1]):
+        out.append(np.unique(out[-1] * (int(lines[:, k].max(initial=0)) + 1) + lines[:, k], return_inverse=True)[1])
+    return out
 
 
 def resolve(sent: Sent, reach: int, core: int) -> tuple[np.ndarray, np.ndarray]:
-    """For every phrase, which of its windows recur, and which of those occur first where the phrase stands."""
-    order = np.lexsort((sent.place, sent.doc_id, sent.contents, sent.names[:, 1], sent.names[:, 0]))
-    key = np.stack([sent.names[order, 0], sent.names[order, 1], sent.contents[order]], 1)
-    new = np.concatenate([[True], (key[1:] != key[:-1]).any(1)])
-    group = np.empty(len(order), np.int64)
-    group[order] = np.cumsum(new) - 1
-    one = order[new]  # of equal phrases, the one that stands first
-    many = np.bincount(group, sent.copies) > 1
-    core_id = np.cumsum(np.concatenate([[True], (sent.names[one][1:] != sent.names[one][:-1]).any(1)]))
+    """The passages of every phrase, as PASSAGE."""
+    one, group, many = sent.distinct()
+    core_id = np.cumsum(np.concatenate([[True], (sent.names[one][1:] != sent.names[one][:-1]).any(1)])) - 1
     left, last = sent.left[one], sent.last[one]
-    lines = _symbols(sent, one, core_id, reach)
-    line, at, more = _passages(lines, left, last, many, reach)
-    marks = np.zeros((len(one), reach + 1), np.int64)
-    owned = np.zeros((len(one), reach + 1), np.int64)
-    if len(line):
-        begin = (reach - 1 - left)[line] + at
-        automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-        for number, (row, a, b) in enumerate(zip(lines[line].tolist(), begin.tolist(), (begin + reach + more).tolist(), strict=True)):
-            automaton.add_word(tuple(row[a:b]), number)
-        automaton.make_automaton()
-        found: list[tuple[int, int]] = []
-        sizes = []
-        for row, a, b in zip(lines.tolist(), (reach - 1 - left).tolist(), (2 * reach - 1 - left + last).tolist(), strict=True):
-            before = len(found)
-            found.extend(automaton.iter(tuple(row[a:b])))
-            sizes.append(len(found) - before)
-        hits = np.array(found, np.int64).reshape(-1, 2)
-        row, passage = np.repeat(np.arange(len(lines)), sizes), hits[:, 1]
-        begin = hits[:, 0] - more[passage] - reach + 1
-        # confirmed: found in two lines, or in one that stands in several places
-        sure = (np.bincount(passage, minlength=len(more))[passage] > 1) | many[row]
-        row, passage, begin = row[sure], passage[sure], begin[sure]
-        doc, place = sent.doc_id[one][row], sent.place[one][row] + begin
-        ranked = np.lexsort((place, doc, passage))
-        heads = ranked[np.concatenate([[True], passage[ranked][1:] != passage[ranked][:-1]])] if len(ranked) else ranked
-        first = np.zeros(len(more), np.int64)
-        first[passage[heads]] = heads
-        is_first = (doc == doc[first[passage]]) & (place == place[first[passage]])
-        for change, some in ((marks, slice(None)), (owned, is_first)):
-            np.add.at(change, (row[some], begin[some]), 1)
-            np.add.at(change, (row[some], begin[some] + more[passage[some]] + 1), -1)
-    marks, owned = (np.cumsum(x[:, :-1], axis=1) > 0 for x in (marks, owned))
-    # a phrase of another block owns a window only if it stands where the first one does
-    stands_first = (sent.doc_id == sent.doc_id[one][group]) & (sent.place == sent.place[one][group])
-    return marks[group], owned[group] & stands_first[:, None]
-
-
-def _finish(block: Block, table: pa.Table, removed: np.ndarray) -> pa.Table:
-    symbols = block.symbols
-    gone = covered(removed, block.shape.window, len(symbols))
+    endings = _prefix_classes(core_id, _word_lines(sent, one, 0, left, reach - 1))
+    beginnings = _prefix_classes(core_id, _word_lines(sent, one, 2, last - left + reach - 1, reach - 1))
+    # of every window that recurs: phrase, number, and where its first occurrence stands
+    found = []
+    for depth in range(reach):
+        some = np.flatnonzero((left - last <= depth) & (depth <= left))
+        if not len(some):
+            continue
+        _, window, counts = np.unique(endings[depth][some] * (len(one) + 1) + beginnings[reach - 1 - depth][some], return_inverse=True, return_counts=True)
+        recurs = np.flatnonzero((counts[window] > 1) | many[some])
+        some, window, k = some[recurs], window[recurs], left[some[recurs]] - depth
+        doc, place = sent.doc_id[one][some], sent.place[one][some] + k
+        order = np.lexsort((place, doc, window))
+        head = np.concatenate([[True], window[order][1:] != window[order][:-1]]) if len(order) else np.zeros(0, bool)
+        first = order[head][np.cumsum(head) - 1]
+        owner = np.empty(len(order), np.int64)
+        owner[order] = first
+        found.append(np.stack([some, k, doc[owner], place[owner]]))
+    line, k, doc, place = np.concatenate(found, axis=1) if found else np.zeros((4, 0), np.int64)
+    order = np.lexsort((k, line))
+    line, k, doc, place = line[order], k[order], doc[order], place[order]
+    # a passage goes on while the next window recurs too and stands next to it at the first occurrence
+    begins = np.concatenate([[True], (line[1:] != line[:-1]) | (k[1:] != k[:-1] + 1) | (doc[1:] != doc[:-1]) | (place[1:] != place[:-1] + 1)]) if len(line) else np.zeros(0, bool)
+    heads = np.flatnonzero(begins)
+    passages = np.zeros(len(heads), PASSAGE)
+    passages["low"], passages["high"] = k[heads], k[np.append(heads[1:], len(k)) - 1] if len(heads) else 0
+    passages["doc_id"], passages["place"] = doc[heads], place[heads]
+    own = np.bincount(line[heads], minlength=len(one))
+    begin = np.cumsum(own) - own
+    rows = np.repeat(np.arange(len(group)), own[group])
+    return rows, passages[ranges(begin[group], own[group])].view(np.uint8).reshape(len(rows), PASSAGE.itemsize)
+
+
+class _Automata:
+    """Passages, as word numbers of a block, in sharded automata."""
+
+    def __init__(self, words: np.ndarray, begin: np.ndarray, end: np.ndarray):
+        self.words, self.begin, self.end = words, begin, end
+        self.shard = (np.cumsum(end - begin) - (end - begin)) // SHARD_WORDS
+
+    def occurrences(self, first: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Text, first word and passage of every occurrence in the texts (first word and number of words of each)."""
+        text, start, passage = ([np.zeros(0, np.int64)] for _ in range(3))
+        for k in np.unique(self.shard):
+            automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+            for number in np.flatnonzero(self.shard == k).tolist():
+                automaton.add_word(tuple(self.words[self.begin[number] : self.end[number]].tolist()), number)
+            automaton.make_automaton()
+            hits: list[tuple[int, int]] = []
+            sizes = []
+            for a, n in zip(first.tolist(), counts.tolist(), strict=True):
+                before = len(hits)
+                if n:
+                    hits.extend(automaton.iter(tuple(self.words[a : a + n].tolist())))
+                sizes.append(len(hits) - before)
+            ends, which = np.array(hits, np.int64).reshape(-1, 2).T
+            own = np.repeat(np.arange(len(sizes)), sizes)
+            text.append(own)
+            passage.append(which)
+            start.append(first[own] + ends + 1 - (self.end - self.begin)[which])
+        return np.concatenate(text), np.concatenate(start), np.concatenate(passage)
+
+
+def _gone(block: Block, answers: list[Answers]) -> np.ndarray:
+    """The words of a block that are to be removed."""
+    symbols, window = block.symbols, block.shape.window
+    begin, end, known = [], [], []
+    for x in answers:
+        order = np.argsort(x.contents, kind="stable")
+        phrase = order[np.searchsorted(x.contents, x.keys, sorter=order)]  # any that holds it
+        passages = np.ascontiguousarray(x.payload).view(PASSAGE).ravel()
+        begin.append(x.i0[phrase] + passages["low"])
+        end.append(x.i0[phrase] + passages["high"] + window)
+        known.append(passages)
+    if not begin:
+        return np.zeros(len(symbols), bool)
+    begin, end, known = np.concatenate(begin), np.concatenate(end), np.concatenate(known)
+    words = pd.factorize(np.array([*symbols.data.tobytes().split(), None], object)[:-1])[0].astype(np.int64)
+    text, start, passage = _Automata(words, begin, end).occurrences(symbols.first, symbols.counts)
+    stands_first = (block.doc_id[text] == known["doc_id"][passage]) & (start - symbols.first[text] == known["place"][passage])
+    later = np.flatnonzero(~stands_first)
+    change = np.zeros(len(symbols) + 1, np.int64)
+    np.add.at(change, start[later], 1)
+    np.subtract.at(change, start[later] + (end - begin)[passage[later]], 1)
+    return np.cumsum(change[:-1]) > 0
+
+
+def _finish(block: Block, table: pa.Table, answers: list[Answers]) -> pa.Table:
+    symbols, gone = block.symbols, _gone(block, answers)
     total = np.concatenate([[0], np.cumsum(gone)])
     stop = symbols.first + symbols.counts
     sizes = np.append(symbols.starts, len(symbols.data))
@@ -151,19 +180,32 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     return find_repeats(docs, shape_of(window), resolve, _finish, f"doc_id {id_type}, n_words long, n_removed long, kept string", id_col, text_col, options)
 
 
-def _finish_rows(block: Block, table: pa.Table, removed: np.ndarray) -> pa.Table:
-    found = _finish(block, table, removed)
-    text = pc.if_else(pc.greater(found.column("n_removed"), 0), found.column("kept"), table.column("text").cast(pa.string()))
-    return pa.table({"rest": table.column("rest"), "text": text})
+def _cut(block: Block, table: pa.Table, answers: list[Answers]) -> pa.Table:
+    """The texts without their removed words and the white space that follows each of these; all else as it was."""
+    gone = _gone(block, answers)
+    data, offsets = block.offsets_data
+    gap = space_mask(data)
+    at_start = np.zeros(len(data) + 1, bool)
+    at_start[offsets] = True
+    begins = ~gap & (at_start[:-1] | np.concatenate([[True], gap[:-1]])[: len(data)])
+    # of every byte, the word that it is in or follows; none before the first word of a text
+    word = np.cumsum(begins) - 1
+    text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    cut = (word >= block.symbols.first[text]) & gone[np.maximum(word, 0)] if len(gone) else np.zeros(len(data), bool)
+    left = np.concatenate([[0], np.cumsum(~cut)])[offsets]
+    raw = data[~cut].tobytes()
+    null = np.asarray(table.column("text").combine_chunks().is_null())
+    texts = [None if n else raw[a:b].decode() for n, a, b in zip(null.tolist(), left[:-1].tolist(), left[1:].tolist(), strict=True)]
+    return pa.table({"rest": table.column("rest"), "text": pa.array(texts, pa.string())})
 
 
 def strip_repeats(docs: DataFrame, window: int = WINDOW, options: Exchange = Exchange()) -> DataFrame:
     """The rows of docs, all columns, with such texts stripped; n_chars, if there, follows the new text.
 
-    A text of which nothing is removed stays as it is, with its white space.
+    A removed word goes with the white space behind it; line breaks, indentation and blanks of all that stays are kept.
     """
     others = docs.select(*(c for c in docs.columns if c != "text")).schema
-    found = find_repeats(docs, shape_of(window), resolve, _finish_rows, f"rest {others.simpleString()}, text string", options=options, keep_rest=True)
+    found = find_repeats(docs, shape_of(window), resolve, _cut, f"rest {others.simpleString()}, text string", options=options, keep_rest=True)
     columns = {c: F.col("text") if c == "text" else F.col("rest").getField(c) for c in docs.columns}
     if "n_chars" in columns:
         columns["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)

@@ -1,16 +1,10 @@
 """Repeated byte strings found by prefix-free parsing.
 
-A rolling hash cuts every text into phrases at its anchors (kinfold.llm.windows).  A suffix of the corpus is what its
-phrase still holds left of the next anchor, the dictionary's part, followed by the text from that anchor on, the parse's
-part.  Where parts that can be equal meet, two small suffix orders are made and combined:
-
-* the dictionary's: the distinct left contexts, sorted backwards from the anchor, so that all with a common ending of
-  any length are neighbours;
-* the parse's: the distinct texts from the anchor on, sorted forwards; a core stands in both by its 128-bit name.
-
-A window (its first 200 bytes) that begins `depth` bytes left of its anchor has a place in corpus order by the class of
-its ending of that depth in the first order and of its beginning of the remaining length in the second.  Suffixes with
-equal classes are neighbours in corpus order with a common prefix of 200 bytes or more, and no others are.
+Places of the corpus that can begin equal windows are brought together (kinfold.llm.windows): each bucket gets whole
+stretches of text, every window of which either occurs once in the corpus or has all its occurrences in that bucket.  A
+bucket parses its stretches into phrases at rolling-hash triggers, sorts the suffixes of the distinct phrases and of the
+parse, combines both into the order of its part of the corpus (kinfold.llm.prefix_free), and reads off which neighbours
+in that order share a window (200 bytes) or more.  No hash decides that two windows are equal.
 
 Cases: null and empty texts have no bytes; a text shorter than the window has no window; repeated rows are copies of each
 other; doc_id may be null or repeated and is passed through; an empty table gives an empty table; other columns are not
@@ -23,66 +17,41 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from kinfold.llm.windows import Block, Exchange, Sent, Shape, covered, find_repeats
+from kinfold.llm.common import ranges
+from kinfold.llm.prefix_free import Parse
+from kinfold.llm.windows import Answers, Block, Exchange, Sent, Shape, covered, find_repeats
 
 WINDOW = 200
 
 
-def _matrix(sent: Sent, rows: np.ndarray, side: int, width: int, backwards: bool) -> np.ndarray:
-    out = np.zeros((len(rows), width), np.uint8)
-    lengths = sent.size[rows, side]
-    flat = np.frombuffer(sent.contexts(rows, side), np.uint8)
-    row = np.repeat(np.arange(len(rows)), lengths)
-    ends = np.cumsum(lengths)
-    column = np.arange(len(flat)) - (ends - lengths)[row]
-    out[row, (lengths[row] - 1 - column) if backwards else column] = flat
-    return out
+def resolve(sent: Sent, reach: int, core: int) -> tuple[np.ndarray, np.ndarray]:
+    """The phrases with windows that occur elsewhere, and bits for these windows."""
+    one, group, many = sent.distinct()
+    data, offsets = sent.stretches(one)
+    windows = sent.last[one] + 1
+    classes = Parse(data, offsets, reach + core - 1).classes(ranges(offsets[:-1], windows), reach + core - 1)
+    row = np.repeat(np.arange(len(one)), windows)
+    marks = np.zeros((len(one), reach), bool)
+    marks[row, ranges(np.zeros(len(one), np.int64), windows)] = (np.bincount(classes)[classes] > 1) | many[row]
+    some = np.flatnonzero(marks.any(1)[group])
+    return some, np.packbits(marks, axis=1)[group[some]]
+
 
+def _marked(answers: list[Answers]) -> np.ndarray:
+    """The window starts of a block that are marked."""
+    starts = [np.zeros(0, np.int64)]
+    for x in answers:
+        order = np.argsort(x.keys)
+        at = np.minimum(np.searchsorted(x.keys, x.contents, sorter=order), len(x.keys) - 1)
+        hit = np.flatnonzero(x.keys[order[at]] == x.contents)
+        which, k = np.nonzero(np.unpackbits(x.payload[order[at[hit]]], axis=1)[:, : x.reach])
+        starts.append(x.i0[hit][which] + k)
+    return np.concatenate(starts)
 
-def suffix_order(core: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rank of each row among the rows of its core, and the common prefix of neighbours in that order.
 
-    common[k]: bytes that the rows of rank k and k - 1 share; -1 where their cores differ.
-    """
-    wide = np.ascontiguousarray(np.pad(rows, ((0, 0), (0, -rows.shape[1] % 8)))).view(">u8").astype(np.uint64)
-    order = np.lexsort([*wide.T[::-1], core])
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order))
-    a, b = rows[order[:-1]], rows[order[1:]]
-    unlike = a != b
-    common = np.where(unlike.any(1), unlike.argmax(1), rows.shape[1]) if rows.shape[1] else np.zeros(len(order) - 1, np.int64)
-    common = np.where(core[order[1:]] == core[order[:-1]], common, -1)
-    return rank, np.concatenate([[-1], common])
-
-
-def resolve(sent: Sent, reach: int, core: int) -> tuple[np.ndarray, None]:
-    """For every phrase, which of its windows occur elsewhere."""
-    same = np.lexsort((sent.contents, sent.names[:, 1], sent.names[:, 0]))
-    key = np.stack([sent.names[same, 0], sent.names[same, 1], sent.contents[same]], 1)
-    new = np.concatenate([[True], (key[1:] != key[:-1]).any(1)])
-    group = np.empty(len(same), np.int64)
-    group[same] = np.cumsum(new) - 1
-    one = same[new]
-    many = np.bincount(group, sent.copies) > 1
-    core_id = np.cumsum(np.concatenate([[True], (sent.names[one][1:] != sent.names[one][:-1]).any(1)]))
-    left_rank, left_common = suffix_order(core_id, _matrix(sent, one, 0, reach - 1, True))
-    right_rank, right_common = suffix_order(core_id, _matrix(sent, one, 1, reach - 1, False))
-    left, last = sent.left[one], sent.last[one]
-    marks = np.zeros((len(one), reach), bool)
-    for depth in range(reach):
-        some = np.flatnonzero((left - last <= depth) & (depth <= left))
-        if not len(some):
-            continue
-        ending = np.cumsum(left_common < depth)[left_rank[some]]
-        beginning = np.cumsum(right_common < reach - 1 - depth)[right_rank[some]]
-        _, inverse, counts = np.unique(ending * (len(one) + 1) + beginning, return_inverse=True, return_counts=True)
-        marks[some, left[some] - depth] = (counts[inverse] > 1) | many[some]
-    return marks[group], None
-
-
-def _finish(block: Block, table: pa.Table, removed: np.ndarray) -> pa.Table:
+def _finish(block: Block, table: pa.Table, answers: list[Answers]) -> pa.Table:
     data, offsets = block.offsets_data
-    gone = covered(removed, block.shape.window, len(data))
+    gone = covered(_marked(answers), block.shape.window, len(data))
     # a run that ends where its text ends doesn't join the next text's
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True

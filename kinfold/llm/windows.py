@@ -8,9 +8,10 @@ symbols left of the anchor, the core, and what follows it.
 
 1. Every block of texts sends the hash of each distinct core to the bucket of that hash, which answers with those that
    occur more than once.  A window whose core occurs once occurs once; this step never says that a window repeats.
-2. Phrases with a repeated core send their left and right context to the bucket of the core, where `resolve` (of the
-   operator) compares the windows themselves and answers, for each phrase of each block, which of its windows repeat.
-3. Every block joins the answers to its texts.
+2. Phrases with a repeated core send the stretch that their windows cover to the bucket of the core (words: without the
+   core, which its 128-bit name stands for), where `resolve` (of the operator) finds the windows that repeat and answers
+   each block for each of its phrases.
+3. Every block joins the answers to its texts, and `finish` (of the operator) makes its rows.
 
 Answers are addressed by block and content, not by row, so equal phrases of a block are sent once.  A core that occurs
 more than `hot` times has its phrases cut into pieces of `fine` window starts, each with a longer core of its own, so
@@ -30,6 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kinfold.llm.common import Words, give_back, ranges, shuffle_partitions, total_text_bytes, utf8_buffer
 
@@ -40,6 +42,8 @@ MULTIPLIER = 0x9E3779B97F4A7C15
 INVERSE = pow(MULTIPLIER, -1, 1 << 64)
 FINAL_1, FINAL_2 = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 LAST_ID = np.iinfo(np.int64).max
+#: What a block counts of one core at most; more than any `hot`, so that a core hot in one block is hot.
+MOST_COUNTED = 65535
 
 
 @dataclass(frozen=True)
@@ -65,6 +69,10 @@ class Exchange:
     bucket_bytes: int = 8 << 20
     hot: int = 2000
 
+    def __post_init__(self):
+        if not 1 <= self.hot < MOST_COUNTED:
+            raise ValueError(f"hot lies between 1 and {MOST_COUNTED - 1}")
+
 
 def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(FINAL_1)
@@ -238,6 +246,7 @@ class Block:
         self.text, self.anchor, self.i0, self.i1 = self.symbols.phrases()
         self.names = self.symbols.core_names(self.anchor, 0)
         ids = table.column("doc_id").combine_chunks()
+        # only operators that order documents read it; they insist on integers
         self.doc_id = np.asarray(ids.cast(pa.int64()).fill_null(LAST_ID)) if pa.types.is_integer(ids.type) else np.zeros(len(ids), np.int64)
 
     def of_level(self, level: int, names: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -250,6 +259,18 @@ class Block:
         return text, a, i0, i1
 
 
+@dataclass
+class Answers:
+    """What `resolve` said of a block's phrases at one level: first window start and content of each phrase; the contents
+    it spoke of, and a line of bytes for each."""
+
+    reach: int
+    i0: np.ndarray
+    contents: np.ndarray
+    keys: np.ndarray
+    payload: np.ndarray
+
+
 def _bytes_of(raw: memoryview, begin: np.ndarray, end: np.ndarray) -> bytes:
     return b"".join([raw[x:y] for x, y in zip(begin.tolist(), end.tolist(), strict=True)])
 
@@ -265,7 +286,7 @@ def _key(table: pa.Table, name: str = "block") -> int:
     return table.column(name)[0].as_py()
 
 
-_REPLY = "block long, level int, keys binary, marks binary, owned binary"
+_REPLY = "block long, level int, keys binary, payload binary"
 _SENT = "bucket int, block long, level int, names binary, contents binary, shape binary, lengths binary, bytes binary, places binary"
 
 
@@ -286,9 +307,23 @@ class Sent:
     place: np.ndarray
 
     def contexts(self, rows: np.ndarray, side: int) -> bytes:
-        """The left (0) or right (1) contexts of these phrases, one after the other."""
+        """What lies left of the core (0) or right of it (2) in these phrases, one after the other."""
         return np.frombuffer(self.raw, np.uint8)[ranges(self.begin[rows, side], self.size[rows, side])].tobytes()
 
+    def stretches(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All that these phrases' windows cover, one phrase after the other, and where each begins and ends."""
+        sizes = self.size[rows].sum(1)
+        return np.frombuffer(self.raw, np.uint8)[ranges(self.begin[rows, 0], sizes)], np.concatenate([[0], np.cumsum(sizes)])
+
+    def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of phrases with equal content the row that stands first; the group of every row; whether a group stands twice."""
+        order = np.lexsort((self.place, self.doc_id, self.contents, self.names[:, 1], self.names[:, 0]))
+        key = np.stack([self.names[order, 0], self.names[order, 1], self.contents[order]], 1)
+        new = np.concatenate([[True], (key[1:] != key[:-1]).any(1)])
+        group = np.empty(len(order), np.int64)
+        group[order] = np.cumsum(new) - 1
+        return order[new], group, np.bincount(group, self.copies) > 1
+
 
 def _unpack(table: pa.Table, level: int) -> Sent:
     rows = [r for r in table.to_pylist() if r["level"] == level]
@@ -297,19 +332,21 @@ def _unpack(table: pa.Table, level: int) -> Sent:
     shape = np.frombuffer(join("shape"), np.uint8).reshape(-1, 3).astype(np.int64)
     lengths = np.frombuffer(join("lengths"), "<u4").astype(np.int64)
     places = np.frombuffer(join("places"), "<i8").reshape(-1, 2)
-    begin = (np.cumsum(lengths) - lengths).reshape(-1, 2)
+    places = places if len(places) else np.zeros((len(names), 2), np.int64)
+    begin = (np.cumsum(lengths) - lengths).reshape(-1, 3)
     block = np.repeat([r["block"] for r in rows], [len(r["contents"]) // 8 for r in rows]).astype(np.int64) if rows else np.zeros(0, np.int64)
-    return Sent(block, names, np.frombuffer(join("contents"), "<u8"), shape[:, 0], shape[:, 1], shape[:, 2], join("bytes"), begin, lengths.reshape(-1, 2), places[:, 0], places[:, 1])
+    return Sent(block, names, np.frombuffer(join("contents"), "<u8"), shape[:, 0], shape[:, 1], shape[:, 2], join("bytes"), begin, lengths.reshape(-1, 3), places[:, 0], places[:, 1])
 
 
 def find_repeats(docs: DataFrame, shape: Shape, resolve: Callable, finish: Callable, schema: str, id_col: str = "doc_id", text_col: str = "text", options: Exchange = Exchange(), keep_rest: bool = False) -> DataFrame:
     """Apply `finish` to every block of docs with the answers of `resolve`.
 
-    resolve(Sent, reach, core) -> (marks, owned): boolean arrays (phrases, reach); marks[r, k]: window k of phrase r
-    occurs elsewhere; owned[r, k]: it occurs first where phrase r says it stands (None: not of interest).
-    finish(Block, table, removed): rows of `schema`; removed: the window starts of the block to remove.
+    resolve(Sent, reach, core) -> (rows, payload): phrases of Sent, any number of times, and a line of bytes for each.
+    finish(Block, table, answers): rows of `schema`, one for each row of table, from what resolve said of its phrases.
     With keep_rest the table has the other columns of docs as the struct `rest`.
     """
+    if shape.words and not isinstance(docs.schema[id_col].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        raise ValueError(f"{id_col} must be an integer: it says which document comes first")
     spark = docs.sparkSession
     rest = [F.struct(*(c for c in docs.columns if c != text_col)).alias("rest")] if keep_rest else []
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), *rest)
@@ -320,14 +357,14 @@ def find_repeats(docs: DataFrame, shape: Shape, resolve: Callable, finish: Calla
     def first_pass(table: pa.Table) -> pa.Table:
         block = Block(table, shape)
         names, counts = np.unique(block.names[:, 0], return_counts=True)
-        out = [(k, names[own].tobytes(), np.minimum(counts[own], 255).astype(np.uint8).tobytes()) for k, own in _by_bucket(names % np.uint64(buckets), buckets)]
+        out = [(k, names[own].tobytes(), np.minimum(counts[own], MOST_COUNTED).astype("<u2").tobytes()) for k, own in _by_bucket(names % np.uint64(buckets), buckets)]
         number = _key(table)
         del block
         give_back()
         return pa.table({"bucket": pa.array([r[0] for r in out], pa.int32()), "block": pa.array([number] * len(out), pa.int64()), "names": pa.array([r[1] for r in out], pa.binary()), "counts": pa.array([r[2] for r in out], pa.binary())})
 
     def repeated(table: pa.Table) -> pa.Table:
-        got = [(r["block"], np.frombuffer(r["names"], "<u8"), np.frombuffer(r["counts"], np.uint8)) for r in table.select(["block", "names", "counts"]).to_pylist()]
+        got = [(r["block"], np.frombuffer(r["names"], "<u8"), np.frombuffer(r["counts"], "<u2")) for r in table.select(["block", "names", "counts"]).to_pylist()]
         known, inverse = np.unique(np.concatenate([n for _, n, _ in got]), return_inverse=True)
         total = np.bincount(inverse, np.concatenate([c for _, _, c in got]), len(known))
         out = []
@@ -336,7 +373,7 @@ def find_repeats(docs: DataFrame, shape: Shape, resolve: Callable, finish: Calla
             for level, some in ((0, (times > 1) & (times <= options.hot)), (1, times > options.hot)):
                 if some.any():
                     out.append((block, level, names[some].tobytes()))
-        return pa.table({"block": pa.array([r[0] for r in out], pa.int64()), "level": pa.array([r[1] for r in out], pa.int32()), "keys": pa.array([r[2] for r in out], pa.binary()), "marks": pa.array([None] * len(out), pa.binary()), "owned": pa.array([None] * len(out), pa.binary())})
+        return pa.table({"block": pa.array([r[0] for r in out], pa.int64()), "level": pa.array([r[1] for r in out], pa.int32()), "keys": pa.array([r[2] for r in out], pa.binary()), "payload": pa.array([None] * len(out), pa.binary())})
 
     def keys_of(replies: pa.Table, level: int) -> np.ndarray:
         return np.frombuffer(b"".join(r["keys"] for r in replies.to_pylist() if r["level"] == level), "<u8")
@@ -361,63 +398,51 @@ def find_repeats(docs: DataFrame, shape: Shape, resolve: Callable, finish: Calla
                 core = symbols.core_names(a, level)
                 own = np.stack([a - i0, i1 - i0, np.minimum(copies, 2)], 1).astype(np.uint8)
                 edges = [symbols.begin(i0), symbols.begin(a), symbols.end(a + shape.core(level)), symbols.end(i1 + shape.window)]
-                lengths = np.stack([edges[1] - edges[0], edges[3] - edges[2]], 1).astype("<u4")
+                if shape.words:
+                    lengths = np.stack([edges[1] - edges[0], np.zeros(len(a), np.int64), edges[3] - edges[2]], 1).astype("<u4")
+                else:
+                    lengths = np.diff(np.stack(edges, 1), axis=1).astype("<u4")
                 places = np.stack([block.doc_id[text], i0 - symbols.first[text]], 1).astype("<i8")
                 for k, some in _by_bucket(core[:, 0] % np.uint64(buckets), buckets):
-                    flat = _bytes_of(symbols.raw, np.stack([edges[0][some], edges[2][some]], 1).ravel(), np.stack([edges[1][some], edges[3][some]], 1).ravel())
-                    out.append((k, number, level, core[some].tobytes(), contents[some].tobytes(), own[some].tobytes(), lengths[some].tobytes(), flat, places[some].tobytes() if shape.words else bytes(16 * len(some))))
+                    if shape.words:
+                        flat = _bytes_of(symbols.raw, np.stack([edges[0][some], edges[2][some]], 1).ravel(), np.stack([edges[1][some], edges[3][some]], 1).ravel())
+                    else:
+                        flat = _bytes_of(symbols.raw, edges[0][some], edges[3][some])
+                    out.append((k, number, level, core[some].tobytes(), contents[some].tobytes(), own[some].tobytes(), lengths[some].tobytes(), flat, places[some].tobytes() if shape.words else b""))
         give_back()
         columns = list(zip(*out, strict=True)) if out else [[]] * 9
         kinds = [pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 6]
         return pa.table({n.split()[0]: pa.array(c, k) for n, c, k in zip(_SENT.split(", "), columns, kinds, strict=True)})
 
     def answer(table: pa.Table) -> pa.Table:
-        out = [(r["block"], 2, r["names"], b"", b"") for r in table.to_pylist() if r["level"] == 2]
+        out = [(r["block"], 2, r["names"], b"") for r in table.to_pylist() if r["level"] == 2]
         for level in (0, 1):
             sent = _unpack(table, level)
             if not len(sent.block):
                 continue
-            marks, owned = resolve(sent, shape.reach(level), shape.core(level))
-            some = np.flatnonzero(marks.any(1))
-            some = some[np.argsort(sent.block[some], kind="stable")]
-            for own in np.split(some, np.flatnonzero(np.diff(sent.block[some])) + 1) if len(some) else []:
-                out.append((int(sent.block[own[0]]), level, sent.contents[own].tobytes(), np.packbits(marks[own], axis=1).tobytes(), np.packbits(owned[own], axis=1).tobytes() if owned is not None else b""))
+            rows, payload = resolve(sent, shape.reach(level), shape.core(level))
+            order = np.argsort(sent.block[rows], kind="stable")
+            rows, payload = rows[order], payload[order]
+            for own in np.split(np.arange(len(rows)), np.flatnonzero(np.diff(sent.block[rows])) + 1) if len(rows) else []:
+                out.append((int(sent.block[rows[own[0]]]), level, sent.contents[rows[own]].tobytes(), payload[own].tobytes()))
         give_back()
-        columns = list(zip(*out, strict=True)) if out else [[]] * 5
-        kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 3]
+        columns = list(zip(*out, strict=True)) if out else [[]] * 4
+        kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 2]
         return pa.table({n.split()[0]: pa.array(c, k) for n, c, k in zip(_REPLY.split(", "), columns, kinds, strict=True)})
 
     def last_pass(table: pa.Table, replies: pa.Table) -> pa.Table:
-        block = Block(table, shape)
-        removed = [np.zeros(0, np.int64)]
-        answers = replies.to_pylist()
-        hot = np.frombuffer(b"".join(r["keys"] for r in answers if r["level"] == 2), "<u8")
+        block, answers = Block(table, shape), []
+        got = replies.to_pylist()
+        hot = np.frombuffer(b"".join(r["keys"] for r in got if r["level"] == 2), "<u8")
         for level in (0, 1):
-            mine = [r for r in answers if r["level"] == level]
+            mine = [r for r in got if r["level"] == level]
             if not mine:
                 continue
-            reach = shape.reach(level)
             keys = np.frombuffer(b"".join(r["keys"] for r in mine), "<u8")
-            unpack = lambda c: np.unpackbits(np.frombuffer(b"".join(r[c] for r in mine), np.uint8).reshape(len(keys), -1), axis=1)[:, :reach].astype(bool)  # noqa: E731, B023
-            marks = unpack("marks")
+            payload = np.frombuffer(b"".join(r["payload"] for r in mine), np.uint8).reshape(len(keys), -1)
             text, a, i0, i1 = block.of_level(1, hot) if level else (block.text, block.anchor, block.i0, block.i1)
-            contents = block.symbols.contents(a, i0, i1, level)
-            order = np.argsort(keys)
-            at = np.minimum(np.searchsorted(keys, contents, sorter=order), len(keys) - 1)
-            hit = np.flatnonzero(keys[order[at]] == contents)
-            row, i0, text = order[at[hit]], i0[hit], text[hit]
-            gone = marks[row]
-            if mine[0]["owned"]:
-                place, doc = i0 - block.symbols.first[text], block.doc_id[text]
-                ranked = np.lexsort((place, doc, row))
-                first = np.full(len(keys), -1)
-                first[row[ranked[::-1]]] = ranked[::-1]
-                named = first[row]
-                is_first = (place == place[named]) & (doc == doc[named])
-                gone = gone & ~(unpack("owned")[row] & is_first[:, None])
-            which, k = np.nonzero(gone)
-            removed.append(i0[which] + k)
-        out = finish(block, table, np.concatenate(removed))
+            answers.append(Answers(shape.reach(level), i0, block.symbols.contents(a, i0, i1, level), keys, payload))
+        out = finish(block, table, answers)
         del block
         give_back()
         return out

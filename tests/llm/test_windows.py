@@ -1,11 +1,13 @@
 import random
+import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from kinfold.llm import phrase_dedup, suffix_dedup, windows
+from kinfold.llm import phrase_dedup, prefix_free, suffix_dedup, windows
 from kinfold.llm.windows import Exchange
 from by_hand import bytes_by_hand, words_by_hand
 
@@ -90,6 +92,85 @@ def test_strip_repeats_keeps_columns_and_clean_texts(spark):
     assert phrase_dedup.strip_repeats(df).columns == df.columns
 
 
+def cut_by_hand(text, gone):
+    """Words of the marked places go with the white space behind them."""
+    out, at = "", 0
+    for k, m in enumerate(re.finditer(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*", text)):
+        out += text[at : m.start()] + ("" if gone[k] else m.group())
+        at = m.end()
+    return out + text[at:]
+
+
+def test_strip_repeats_keeps_the_layout(spark):
+    passage = " ".join(f"w{i}" for i in range(25))
+    before, after = "line one\n\n    code here\n", "last\tline \n"
+    rows = [(1, passage), (2, f"{before}{passage}\n{after}"), (3, f"  {passage}"), (4, f"é\t{passage}  \n"), (5, f"{passage}\n\nmore\n  {passage} end")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.text for r in phrase_dedup.strip_repeats(df).collect()}
+    assert found == {1: passage, 2: before + after, 3: "  ", 4: "é\t", 5: "more\n  end"}
+
+
+@pytest.mark.parametrize("options", [Exchange(), TIGHT])
+def test_strip_repeats_by_hand(spark, options):
+    rows = [r for r in sample(3, ["a", "b", "ç", "dd", "e."], lambda r: r.choice([" ", "\n", "  ", "\n\t"])) if r[0] is not None]
+    rows = [(i, t) for i, (_, t) in enumerate(rows)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.text for r in phrase_dedup.strip_repeats(df, 10, options).collect()}
+    first, expected = {}, {}
+    for i, t in rows:
+        words = (t or "").split()
+        for k in range(len(words) - 9):
+            first.setdefault(tuple(words[k : k + 10]), (i, k))
+    for i, t in rows:
+        words = (t or "").split()
+        gone = [False] * len(words)
+        for k in range(len(words) - 9):
+            if first[tuple(words[k : k + 10])] != (i, k):
+                gone[k : k + 10] = [True] * 10
+        expected[i] = None if t is None else cut_by_hand(t, gone)
+    assert found == expected and any(found[i] != t for i, t in rows)
+
+
+def test_ids_that_have_no_order(spark):
+    df = spark.createDataFrame([("a", "x")], "doc_id string, text string")
+    with pytest.raises(ValueError):
+        phrase_dedup.remove_repeats(df)
+    with pytest.raises(ValueError):
+        Exchange(hot=70_000)
+
+
+def test_automata_in_shards(spark, monkeypatch):
+    """Many small automata find what one finds."""
+    rows = sample(4, ["a", "b", "ç", "dd", "e."], lambda r: " ")
+    table = pa.table({"doc_id": pa.array([r[0] for r in rows], pa.int64()), "text": pa.array([r[1] for r in rows], pa.string())})
+    block = windows.Block(table, phrase_dedup.shape_of(10))
+    begin = np.flatnonzero(block.symbols.counts[block.text] >= 12)[:200]
+    begin = block.i0[begin]
+    words = np.unique(block.symbols.hashes, return_inverse=True)[1].astype(np.int64)
+    automata = lambda: {tuple(x) for x in zip(*map(list, phrase_dedup._Automata(words, begin, begin + 10).occurrences(block.symbols.first, block.symbols.counts)), strict=True)}
+    whole = {(t, s, tuple(words[begin[p] : begin[p] + 10].tolist())) for t, s, p in automata()}
+    monkeypatch.setattr(phrase_dedup, "SHARD_WORDS", 30)
+    assert whole == {(t, s, tuple(words[begin[p] : begin[p] + 10].tolist())) for t, s, p in automata()}
+    assert {s for _, s, _ in whole} >= set(begin.tolist())
+
+
+@pytest.mark.parametrize("modulus", [1, 3, 32])
+def test_corpus_order_is_that_of_a_plain_suffix_sort(monkeypatch, modulus):
+    monkeypatch.setattr(prefix_free, "MODULUS", modulus)
+    rnd = random.Random(modulus)
+    parts = [bytes(rnd.choice(b"ab") for _ in range(rnd.randint(1, 40))) for _ in range(5)]
+    texts = [b"".join(rnd.choice(parts) for _ in range(rnd.randint(0, 8))) for _ in range(40)] + [b"", b"a" * 300, b"\x00" * 50, bytes(range(256))]
+    data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    parse = prefix_free.Parse(data, offsets, len(data))
+    suffix = [t[k:] for t in texts for k in range(len(t))]
+    order, same = parse.order(np.arange(len(data)))
+    assert [suffix[k] for k in order] == sorted(suffix)
+    assert same.tolist() == [False] + [a == b for a, b in zip(sorted(suffix), sorted(suffix)[1:], strict=False)]
+    full = np.array([k for k, x in enumerate(suffix) if len(x) >= 30])
+    classes = parse.classes(full, 30)
+    assert len(set(classes.tolist())) == len({suffix[k][:30] for k in full}) == len({(c, suffix[k][:30]) for c, k in zip(classes.tolist(), full, strict=True)})
+
+
 def test_empty(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert suffix_dedup.remove_repeats(empty).count() == 0
