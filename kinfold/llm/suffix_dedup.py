@@ -82,7 +82,9 @@ def _finish(block: Block, table: pa.Table, answers: list[Answers]) -> pa.Table:
 def shape_of(window: int) -> Shape:
     if window < 32:
         raise ValueError("a window has 32 bytes at least")
-    return Shape(window, min(window // 2, 200), min(12, window // 4), max(2, min(window // 2, 200) // 10), False)
+    # three quarters of a window may lie before its core: fewer and longer stretches
+    span = min(3 * window // 4, 200)
+    return Shape(window, span, min(12, window // 4), max(2, span // 10), False)
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", options: Exchange = Exchange()) -> DataFrame:
