@@ -122,23 +122,46 @@ class _Automata:
         return np.concatenate(text), np.concatenate(start), np.concatenate(passage)
 
 
+def _sole(of: np.ndarray, other: np.ndarray, n: int) -> np.ndarray:
+    """For each of n classes the one class that `other` names wherever `of` is that class; -1 if there is none or another."""
+    low, high = np.full(n, n), np.full(n, -1)
+    np.minimum.at(low, of, other)
+    np.maximum.at(high, of, other)
+    return np.where(low == high, low, -1)
+
+
+def _patterns(x: Answers) -> np.ndarray:
+    """First and last window start of each passage where it first stands in the block, doc_id and place of its owner.
+
+    Passages of phrases that always follow each other in the block, here and at the first occurrence, are one.
+    """
+    order = np.argsort(x.i0, kind="stable")
+    i0, i1 = x.i0[order], x.i1[order]
+    known, first, kind = np.unique(x.contents[order], return_index=True, return_inverse=True)
+    near = i0[1:] == i1[:-1] + 1
+    behind = _sole(kind, np.append(np.where(near, kind[1:], -1), -1), len(known))
+    before = _sole(kind, np.append(-1, np.where(near, kind[:-1], -1)), len(known))
+    own = np.searchsorted(known, x.keys)
+    passages = np.ascontiguousarray(x.payload).view(PASSAGE).ravel()
+    begin, end = i0[first[own]] + passages["low"], i0[first[own]] + passages["high"]
+    order = np.argsort(begin, kind="stable")
+    own, begin, end, doc, place = own[order], begin[order], end[order], passages["doc_id"][order], passages["place"][order]
+    follows = (begin[1:] == end[:-1] + 1) & (doc[1:] == doc[:-1]) & (place[1:] == place[:-1] + begin[1:] - begin[:-1])
+    follows &= (behind[own[:-1]] == own[1:]) & (before[own[1:]] == own[:-1])
+    heads = np.flatnonzero(np.append(True, ~follows))
+    return np.stack([begin[heads], end[np.append(heads[1:], len(own)) - 1], doc[heads], place[heads]])
+
+
 def _gone(block: Block, answers: list[Answers]) -> np.ndarray:
     """The words of a block that are to be removed."""
     symbols, window = block.symbols, block.shape.window
-    begin, end, known = [], [], []
-    for x in answers:
-        order = np.argsort(x.contents, kind="stable")
-        phrase = order[np.searchsorted(x.contents, x.keys, sorter=order)]  # any that holds it
-        passages = np.ascontiguousarray(x.payload).view(PASSAGE).ravel()
-        begin.append(x.i0[phrase] + passages["low"])
-        end.append(x.i0[phrase] + passages["high"] + window)
-        known.append(passages)
-    if not begin:
+    if not answers:
         return np.zeros(len(symbols), bool)
-    begin, end, known = np.concatenate(begin), np.concatenate(end), np.concatenate(known)
+    begin, end, doc_id, place = np.concatenate([_patterns(x) for x in answers], axis=1)
+    end += window
     words = pd.factorize(np.array([*symbols.data.tobytes().split(), None], object)[:-1])[0].astype(np.int64)
     text, start, passage = _Automata(words, begin, end).occurrences(symbols.first, symbols.counts)
-    stands_first = (block.doc_id[text] == known["doc_id"][passage]) & (start - symbols.first[text] == known["place"][passage])
+    stands_first = (block.doc_id[text] == doc_id[passage]) & (start - symbols.first[text] == place[passage])
     later = np.flatnonzero(~stands_first)
     change = np.zeros(len(symbols) + 1, np.int64)
     np.add.at(change, start[later], 1)

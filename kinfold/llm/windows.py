@@ -261,11 +261,12 @@ class Block:
 
 @dataclass
 class Answers:
-    """What `resolve` said of a block's phrases at one level: first window start and content of each phrase; the contents
-    it spoke of, and a line of bytes for each."""
+    """What `resolve` said of a block's phrases at one level: first and last window start and content of each phrase; the
+    contents it spoke of, and a line of bytes for each."""
 
     reach: int
     i0: np.ndarray
+    i1: np.ndarray
     contents: np.ndarray
     keys: np.ndarray
     payload: np.ndarray
@@ -441,7 +442,7 @@ def find_repeats(docs: DataFrame, shape: Shape, resolve: Callable, finish: Calla
             keys = np.frombuffer(b"".join(r["keys"] for r in mine), "<u8")
             payload = np.frombuffer(b"".join(r["payload"] for r in mine), np.uint8).reshape(len(keys), -1)
             text, a, i0, i1 = block.of_level(1, hot) if level else (block.text, block.anchor, block.i0, block.i1)
-            answers.append(Answers(shape.reach(level), i0, block.symbols.contents(a, i0, i1, level), keys, payload))
+            answers.append(Answers(shape.reach(level), i0, i1, block.symbols.contents(a, i0, i1, level), keys, payload))
         out = finish(block, table, answers)
         del block
         give_back()
