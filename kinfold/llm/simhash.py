@@ -145,7 +145,7 @@ def anchors(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(which), np.concatenate(found)
 
 
-def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Edges (node, root) that connect what the links (a, b) connect."""
     nodes, inverse = np.unique(np.concatenate([a, b]), return_inverse=True)
     x, y = inverse[: len(a)], inverse[len(a) :]
@@ -179,13 +179,13 @@ def links_at_anchors(anchor: np.ndarray, prints: np.ndarray, max_bits: int = MAX
         held_b.append(prints[linked + step])
         held += len(linked)
         if held > HELD_LINKS:
-            a, b = _forest(np.concatenate(held_a), np.concatenate(held_b))
+            a, b = forest(np.concatenate(held_a), np.concatenate(held_b))
             held_a, held_b, held = [a], [b], len(a)
         step += 1
         at = at[left_in_group[at] >= step]
     if not held:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    return _forest(np.concatenate(held_a), np.concatenate(held_b))
+    return forest(np.concatenate(held_a), np.concatenate(held_b))
 
 
 def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
