@@ -181,7 +181,8 @@ def take(docs: DataFrame, options: MixOptions = MixOptions()) -> DataFrame:
     """The mix itself: each row of docs as often as it is taken, shard by shard, in random order within a shard.
 
     A shard's random places are cut into as many pieces as give every task of a shuffle its share, so that shards may be
-    of any size; a partition's rows are in order of shard and place.
+    of any size.  Partitions are in order of shard and piece, their rows in order of place, so that files written of the
+    result, taken by name, hold the mix in its order.
     """
     rows = _mixed(_prepared(docs, docs.columns, options), options).select("row", F.posexplode("shards").alias("turn", "shard"))
     place = F.xxhash64(F.lit(options.seed), F.col("shard"), F.col("turn"), F.col("row.doc_id"), F.col("row.text"))
@@ -189,5 +190,7 @@ def take(docs: DataFrame, options: MixOptions = MixOptions()) -> DataFrame:
     pieces = -(-shuffle_partitions(docs.sparkSession) // shards)
     piece = F.floor((F.col("place").cast("double") / 2.0**64 + 0.5) * pieces)
     taken = rows.withColumn("place", place).withColumn("piece", piece)
-    dealt = taken.repartition(shards * pieces, "shard", "piece").sortWithinPartitions("shard", "piece", "place")
+    # a place of 1 - 2 ** -64 rounds to 1
+    number = F.col("shard") * pieces + F.least(F.col("piece"), F.lit(pieces - 1))
+    dealt = taken.repartitionById(shards * pieces, number.cast("int")).sortWithinPartitions("place")
     return dealt.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))

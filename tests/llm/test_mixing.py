@@ -72,6 +72,23 @@ def test_take_repeats_whole_rows(docs):
     assert set(docs.columns) <= set(mixed.columns)
 
 
+def test_files_hold_the_mix_in_its_order(docs, spark, tmp_path):
+    """File after file, row after row: shard after shard, and the documents of a shard in an order that mixes sources."""
+    mixing.take(docs).write.parquet(str(tmp_path / "mix"))
+    rows = spark.read.parquet(str(tmp_path / "mix")).select("doc_id", "_metadata.file_name", "_metadata.row_index").collect()
+    order = [r.doc_id for r in sorted(rows, key=lambda r: (r.file_name, r.row_index))]
+    shards = defaultdict(Counter)
+    for r in mixing.mix_sizes(docs).collect():
+        for s in r.shards:
+            shards[s][r.doc_id] += 1
+    at = 0
+    for s in sorted(shards):
+        n = sum(shards[s].values())
+        assert Counter(order[at : at + n]) == shards[s] and order[at : at + n] != sorted(order[at : at + n], key=str)
+        at += n
+    assert at == len(order)
+
+
 def test_empty(spark, docs):
     assert mixing.mix_sizes(docs.limit(0)).count() == 0
     assert mixing.take(docs.limit(0)).count() == 0
