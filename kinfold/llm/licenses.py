@@ -1,13 +1,16 @@
-"""Licence notices in documents, by Dice coefficient over word bigrams.
+"""Licence texts and notices in documents, by Dice coefficient over word bigrams.
 
-Every line, paragraph (lines between blank ones) and whole text is normalised (lower case, words of letters and digits
-only) and compared to licence templates: twice the number of shared distinct bigrams over the sum of both numbers.  Two
-sets can reach `least` only if the smaller has at least least / (2 - least) times as many bigrams as the larger, so most
-templates are never compared; of the others only those are that share a bigram.
+Passages are normalised (lower case, words of letters and digits only) and compared to licence templates: twice the number
+of shared distinct bigrams over the sum of both numbers.  Passages are every line, every paragraph (lines between blank
+ones), the whole text, and, for notices inside longer lines or paragraphs, windows of a template's number of words that
+begin where the text has one of its bigrams.
+
+Two sets can reach `least` only if the smaller has at least least / (2 - least) times as many bigrams as the larger: other
+templates are not compared to a passage, and windows only of templates of whose bigrams the text holds that share.
 
 Cases: null and empty texts, and passages of fewer than two words, match nothing: license null, dice 0; of equal scores
 the template whose name comes first counts; repeated rows are scanned one by one; an empty table gives an empty table;
-other columns are not read.
+other columns are not read.  Licences known only by a notice (kinfold.llm.license_texts) are not found by their full text.
 """
 
 from __future__ import annotations
@@ -18,80 +21,87 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kinfold.llm.license_texts import TEMPLATES
+
 LEAST = 0.8
 WORD = re.compile(r"[0-9a-z]+")
 PARAGRAPH = re.compile(r"\n[\x20\x09-\x0D]*\n")
 
-#: Common short notices, and the full text of two short licences.
-TEMPLATES: tuple[tuple[str, str], ...] = (
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.'),
-    ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
-    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
-    ("MIT", "Released under the MIT License."),
-    ("MIT", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.'),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-)
-
-
-def bigrams(text: str) -> set[tuple[str, str]]:
-    words = WORD.findall(text.lower())
+
+def words_of(text: str) -> list[str]:
+    return WORD.findall(text.lower())
+
+
+def bigrams(words: list[str]) -> set[tuple[str, str]]:
     return set(zip(words, words[1:], strict=False))
 
 
+def dice(a: set, b: set) -> float:
+    return 2 * len(a & b) / (len(a) + len(b))
+
+
 class Scanner:
     def __init__(self, templates: tuple[tuple[str, str], ...] = TEMPLATES, least: float = LEAST):
         if not 0 < least <= 1:
             raise ValueError("least lies above 0 and up to 1")
         self.least = least
-        self.templates = [(name, bigrams(text)) for name, text in templates]
+        split = [(name, words_of(text)) for name, text in templates]
+        self.templates = sorted(((name, bigrams(words), len(words)) for name, words in split), key=lambda t: len(t[1]))
         self.holding: dict[tuple[str, str], list[int]] = {}
-        for k, (_, own) in enumerate(self.templates):
+        for k, (_, own, _) in enumerate(self.templates):
             for pair in own:
                 self.holding.setdefault(pair, []).append(k)
-        self.words = {w for pair in self.holding for w in pair}
 
-    def passage(self, text: str) -> list[tuple[float, str]]:
-        own = bigrams(text)
-        near: dict[int, int] = {}
-        for pair in own:
-            for k in self.holding.get(pair, ()):
-                near[k] = near.get(k, 0) + 1
-        out = []
-        for k, shared in near.items():
-            name, other = self.templates[k]
+    def passage(self, words: list[str]) -> list[tuple[float, str]]:
+        own, out = bigrams(words), []
+        for name, other, _ in self.templates:
             few, many = sorted((len(own), len(other)))
-            if 2 * few / (few + many) >= self.least:  # the score if all of the smaller set is shared
-                dice = 2 * shared / (few + many)
-                if dice >= self.least:
-                    out.append((dice, name))
+            # the score if all of the smaller set is shared; the templates ascend in size
+            if few and 2 * few / (few + many) >= self.least:
+                score = dice(own, other)
+                if score >= self.least:
+                    out.append((score, name))
+            elif len(other) > len(own):
+                break
+        return out
+
+    def windows(self, words: list[str], hits: dict[int, list[int]]) -> list[tuple[float, str]]:
+        """hits: where the bigrams of each template stand in words."""
+        out = []
+        for k, places in hits.items():
+            name, own, length = self.templates[k]
+            if (2 - self.least) * len({(words[i], words[i + 1]) for i in places}) < self.least * len(own):
+                continue
+            best = max(dice(bigrams(words[i : i + length]), own) for i in places)
+            if best >= self.least:
+                out.append((best, name))
         return out
 
     def text(self, text: str | None) -> tuple[str | None, float, int]:
         """Best template, its score, and the number of lines that match any."""
-        if not text:
+        lines = [words_of(line) for line in (text or "").split("\n")]
+        words = [w for line in lines for w in line]
+        hits: dict[int, list[int]] = {}
+        for i, pair in enumerate(zip(words, words[1:], strict=False)):
+            for k in self.holding.get(pair, ()):
+                hits.setdefault(k, []).append(i)
+        if not hits:
             return None, 0.0, 0
-        lines = text.split("\n")
-        found, matching = [], 0
+        found = self.windows(words, hits)
+        matching = 0
         for line in lines:
-            hits = self.passage(line)
-            matching += bool(hits)
-            found += hits
+            matched = self.passage(line)
+            matching += bool(matched)
+            found += matched
         if len(lines) > 1:
-            for part in [*PARAGRAPH.split(text), text]:
+            for part in PARAGRAPH.split(text):
                 if "\n" in part:
-                    found += self.passage(part)
+                    found += self.passage(words_of(part))
+            found += self.passage(words)
         if not found:
             return None, 0.0, 0
-        dice, name = min(found, key=lambda x: (-x[0], x[1]))
-        return name, dice, matching
+        score, name = min(found, key=lambda x: (-x[0], x[1]))
+        return name, score, matching
 
 
 def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, least: float = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

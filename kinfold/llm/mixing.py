@@ -13,6 +13,8 @@ excess is shared again by weight.
 
 There is one row a source, and at most MOST_BLOCKS rows a source and pass, in what is planned before the rows are dealt:
 sources are ranked and filled up in one task, which takes some millions of sources, not a source for every document.
+The one block of a source that is cut is dealt once more into parts, whole ones of which are taken in turn, so that only
+the rows of a single part, 1 / MOST_BLOCKS of a block of any size, are put in order.
 
 Cases: a null text has size 0; null is a source of its own; sources without words have target 0 and give nothing; equal
 rows are taken together or apart, but every rerun takes as many; an empty table gives an empty table; other columns are
@@ -123,7 +125,7 @@ def _plan(prepared: DataFrame, options: MixOptions) -> tuple[DataFrame, DataFram
     wanted = F.greatest(F.lit(0.0), F.ceil(F.log2(F.col("n") / ROWS_PER_BLOCK)))
     sources = cut_lineage(source_targets(sources, options).withColumn("n_blocks", F.least(F.lit(MOST_BLOCKS), F.pow(F.lit(2.0), wanted)).cast("long")))
     blocks = fine.join(sources.select("source_key", "source_size", "target", "n_blocks"), "source_key")
-    blocks = blocks.groupBy("source_key", (F.col("deal") % F.col("n_blocks")).alias("block"), "source_size", "target").agg(F.sum("words").alias("words"))
+    blocks = blocks.groupBy("source_key", (F.col("deal") % F.col("n_blocks")).alias("block"), "source_size", "target").agg(F.sum("words").alias("words"), F.sum("n").alias("rows"))
     whole = F.floor(F.col("target") / F.col("source_size"))
     passes = blocks.where("source_size > 0").withColumn("whole", whole).withColumn("pass", F.explode(F.sequence(F.lit(0).cast("long"), F.col("whole"))))
     order = Window.partitionBy("source_key", "pass").orderBy(F.xxhash64(F.lit(options.seed), F.col("source_key"), F.col("pass"), F.col("block")), "block")
@@ -134,7 +136,7 @@ def _plan(prepared: DataFrame, options: MixOptions) -> tuple[DataFrame, DataFram
     drawn = cut_lineage(drawn.withColumn("draw", F.row_number().over(Window.partitionBy("source_key").orderBy("pass", "draw")).cast("long") - 1))
     quotas = drawn.groupBy("source_key").agg(F.count("*").alias("quota"))
     placed = drawn.join(shard_quotas(quotas, options), "source_key").withColumn("shard", F.expr("size(filter(shard_ends, e -> e <= draw))"))
-    by_block = placed.groupBy("source_key", "block").agg(F.sort_array(F.collect_list(F.struct("pass", "shard", F.col("cut")))).alias("draws"), F.max("cut").alias("cut"))
+    by_block = placed.groupBy("source_key", "block").agg(F.sort_array(F.collect_list(F.struct("pass", "shard", F.col("cut")))).alias("draws"), F.max("cut").alias("cut"), F.max("rows").alias("rows"))
     return sources, by_block
 
 
@@ -165,14 +167,23 @@ def _mixed(prepared: DataFrame, options: MixOptions) -> DataFrame:
     keyed = keyed.withColumn("block", F.pmod(F.col("row_hash"), F.lit(MOST_BLOCKS)) % F.col("n_blocks"))
     planned = keyed.join(_sent(cut_lineage(by_block)), ["source_key", "block"], "left")
     clear = planned.where("cut IS NULL").withColumn("in_cut", F.lit(True))
-    # of a block that is cut: its longest rows while they fit, then its shortest, to the nearest
+    # of a block that is cut: its parts while they fit; of the next one its longest rows while they fit, then its shortest, to the nearest
+    inside = planned.where("cut IS NOT NULL")
+    n_parts = F.least(F.lit(MOST_BLOCKS), F.pow(F.lit(2.0), F.greatest(F.lit(0.0), F.ceil(F.log2(F.col("rows") / ROWS_PER_BLOCK))))).cast("long")
+    inside = inside.withColumn("part", F.pmod(F.xxhash64(F.lit(options.seed + 1), "row_hash"), n_parts))
+    parts = inside.groupBy("source_key", "part", "cut").agg(F.sum("size").alias("part_size"))
+    # one block of a source is cut: at most MOST_BLOCKS rows share a source's order
+    parts = cut_lineage(parts.select("source_key", "part", (F.col("cut") - F.sum("part_size").over(Window.partitionBy("source_key").orderBy("part")) + F.col("part_size")).alias("left"), "part_size"))
+    inside = inside.join(_sent(parts), ["source_key", "part"])
+    sure = inside.where("left >= part_size OR left <= 0").withColumn("in_cut", F.col("left") >= F.col("part_size")).drop("part", "left", "part_size")
+    inside = inside.where("left < part_size AND left > 0").withColumn("cut", F.col("left")).drop("part", "left", "part_size")
     block = Window.partitionBy("source_key", "block")
     down = block.orderBy(F.col("size").desc(), "row_hash", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
     up = Window.partitionBy("source_key", "block", "fits").orderBy("size", "row_hash", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
-    parted = planned.where("cut IS NOT NULL").withColumn("fits", F.sum("size").over(down) <= F.col("cut"))
+    parted = inside.withColumn("fits", F.sum("size").over(down) <= F.col("cut"))
     parted = parted.withColumn("still", F.col("cut") - F.sum(F.when(F.col("fits"), F.col("size")).otherwise(0)).over(block))
     parted = parted.withColumn("in_cut", F.col("fits") | (2 * F.sum("size").over(up) - F.col("size") <= 2 * F.col("still"))).drop("fits", "still")
-    both = clear.unionByName(parted)
+    both = clear.unionByName(sure).unionByName(parted)
     held = F.filter(F.coalesce(F.col("draws"), F.array().cast(by_block.schema["draws"].dataType)), lambda d: F.col("in_cut") | d["cut"].isNull())
     return both.withColumn("held", held).select("row", "size", "source_size", "target", (F.size("held") * F.col("size")).alias("taken"), F.col("held.shard").alias("shards"))
 

@@ -36,6 +36,10 @@ GOLAY = 0b110001110101
 BLOCKS = ((0, 22), (22, 21), (43, 21))
 #: Texts are hashed in runs of about this many bytes; a longer text is a run of its own.
 RUN_BYTES = 2_000_000
+#: Keys with more than this share of the rows are few enough to be broadcast: SHARES at most.
+SHARES = 10_000
+#: A column that names a row.
+ROW = "row_of_simhash"
 #: Links held before they are reduced to a forest.
 HELD_LINKS = 2_000_000
 
@@ -219,22 +223,37 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """Rows (doc_id, fingerprint, component_id) for every row of docs; fingerprint is a signed long."""
     rows = cut_lineage(fingerprints(docs, id_col, text_col, shingle))
-    classes = cut_lineage(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")))
+    classes = cut_lineage(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")))
     found = star_components(links(classes, max_bits)).withColumnRenamed("node", "fingerprint")
-    joined = classes.join(found, "fingerprint", "left").select("fingerprint", "first_id", F.coalesce("component", "fingerprint").alias("component"))
-    named = joined.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    by_print = joined.join(named, "component").select("fingerprint", "component_id")
-    return rows.join(by_print, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    joined = cut_lineage(classes.join(found, "fingerprint", "left"))
+    # fingerprints without a link name themselves
+    linked = joined.where("component IS NOT NULL")
+    named = linked.groupBy("component").agg(F.min("first_id").alias("component_id"), F.count("*").alias("n_prints"))
+    lone = joined.where("component IS NULL").select("fingerprint", "n", F.col("first_id").alias("component_id"))
+    by_print = lone.unionByName(join_hot(linked, named, "component", "n_prints").select("fingerprint", "n", "component_id"))
+    return join_hot(rows, by_print, "fingerprint", "n").select("doc_id", "fingerprint", "component_id")
 
 
-def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of docs, all columns, that come first in their group of near-duplicates; of rows with one doc_id, one.
+def join_hot(many: DataFrame, few: DataFrame, key: str, count: str) -> DataFrame:
+    """many joined with few, which has one row a key and the number of its rows in many.
 
-    Rows with a null doc_id have no place in an order and stay.
+    Keys with more than 1 / SHARES of the rows, of which there can't be more than SHARES, are broadcast; the rest is dealt
+    by key.
     """
-    found = near_duplicates(docs)
-    kept = cut_lineage(found.groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count("*").alias("n")).where("doc_id = component_id").select("doc_id", "n"))
-    once = docs.join(kept.where("n = 1"), "doc_id", "left_semi")
-    # the same doc_id again: rows that are near-duplicates of each other or equal; one stays
-    again = docs.join(kept.where("n > 1"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(again).unionByName(docs.where("doc_id IS NULL")).select(docs.columns)
+    few = cut_lineage(few)
+    total = few.agg(F.sum(count)).first()[0] or 0
+    hot = F.broadcast(few.where(F.col(count) * SHARES > total))
+    return many.join(hot, key).unionByName(many.join(hot.select(key), key, "left_anti").join(few.where(F.col(count) * SHARES <= total), key))
+
+
+def keep_one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of docs, all columns, that come first by (doc_id, text's MD5) in their group of near-duplicates; one row
+    of those with the same doc_id and text.  Rows with a null doc_id have no place in an order and stay."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    row = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("id"), F.md5(text.cast("binary")).alias("md5"))
+    found = near_duplicates(docs.select(row.alias("doc_id"), "text"))
+    kept = cut_lineage(found.where("doc_id = component_id AND NOT doc_id.unnamed").groupBy(F.col("doc_id").alias(ROW)).agg(F.count("*").alias("n")))
+    rows = docs.withColumn(ROW, row)
+    once = rows.join(kept.where("n = 1"), ROW, "left_semi")
+    again = rows.join(kept.where("n > 1"), ROW, "left_semi").dropDuplicates([ROW])
+    return once.unionByName(again).unionByName(rows.where("doc_id IS NULL")).select(docs.columns)

@@ -135,13 +135,27 @@ WITH d AS (
   SELECT rid, kind, k, tid, name, count(*) AS shared FROM b JOIN tb USING (pair) GROUP BY rid, kind, k, tid, name
 ), m AS (
   SELECT rid, kind, k, name, 2 * shared / (bn.n + tn.n) AS dice FROM s JOIN bn USING (rid, kind, k) JOIN tn USING (tid)
+), h AS (
+  SELECT rid, generate_subscripts(words, 1) AS i, unnest(list_zip(words[1:len(words) - 1], words[2:])) AS pair FROM (SELECT rid, regexp_extract_all(lower(text), '[0-9a-z]+') AS words FROM d) WHERE len(words) > 1
+), hit AS (
+  SELECT rid, i, pair, tid FROM h JOIN tb USING (pair)
+), near AS (
+  SELECT rid, tid FROM hit JOIN tn USING (tid) GROUP BY rid, tid, tn.n HAVING {2 - licenses.LEAST} * count(DISTINCT pair) >= {licenses.LEAST} * tn.n
+), win AS (
+  SELECT s.rid, s.tid, s.i, tw.name, count(DISTINCT h.pair) AS n_window, count(DISTINCT CASE WHEN tb.pair IS NOT NULL THEN h.pair END) AS shared
+  FROM hit s JOIN near USING (rid, tid) JOIN tw ON tw.tid = s.tid JOIN h ON h.rid = s.rid AND h.i BETWEEN s.i AND s.i + len(tw.words) - 2 LEFT JOIN tb ON tb.tid = s.tid AND tb.pair = h.pair
+  GROUP BY s.rid, s.tid, s.i, tw.name
+), x AS (
+  SELECT rid, name, max(2 * shared / (n_window + tn.n)) AS dice FROM win JOIN tn USING (tid) GROUP BY rid, name
 ), g AS (
   SELECT rid, name, dice, row_number() OVER (PARTITION BY rid ORDER BY dice DESC, name) AS r FROM m WHERE dice >= {licenses.LEAST}
 ), l AS (
   SELECT rid, count(DISTINCT k) AS n_lines FROM m WHERE kind = 'line' AND dice >= {licenses.LEAST} GROUP BY rid
+), best AS (
+  SELECT rid, name, dice FROM (SELECT rid, name, dice, row_number() OVER (PARTITION BY rid ORDER BY dice DESC, name) AS r FROM (SELECT rid, name, dice FROM g WHERE r = 1 UNION ALL SELECT rid, name, dice FROM x WHERE dice >= {licenses.LEAST})) WHERE r = 1
 )
 SELECT doc_id, name AS license, coalesce(dice, 0.0)::DOUBLE AS dice, coalesce(n_lines, 0)::BIGINT AS n_lines
-FROM d LEFT JOIN (SELECT * FROM g WHERE r = 1) g USING (rid) LEFT JOIN l USING (rid)
+FROM d LEFT JOIN best USING (rid) LEFT JOIN l USING (rid)
 """
 
 

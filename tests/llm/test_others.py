@@ -130,11 +130,31 @@ def test_licenses(spark):
 def test_size_bounds_lose_no_template():
     scanner, rnd = licenses.Scanner(), random.Random(1)
     words = [w for _, t in licenses.TEMPLATES for w in t.split()]
-    for _ in range(200):
-        text = " ".join(rnd.choice(licenses.TEMPLATES)[1].split()[: rnd.randint(2, 40)] + [rnd.choice(words) for _ in range(rnd.randint(0, 3))])
-        own = licenses.bigrams(text)
-        plain = {(2 * len(own & t) / (len(own) + len(t)), name) for name, t in scanner.templates if own}
-        assert set(scanner.passage(text)) == {x for x in plain if x[0] >= scanner.least}
+    for _ in range(300):
+        text = " ".join(rnd.choice(licenses.TEMPLATES)[1].split()[: rnd.choice([2, 5, 10, 40, 200, 400])] + [rnd.choice(words) for _ in range(rnd.randint(0, 3))])
+        own = licenses.bigrams(licenses.words_of(text))
+        plain = {(2 * len(own & t) / (len(own) + len(t)), name) for name, t, _ in scanner.templates if own}
+        assert set(scanner.passage(licenses.words_of(text))) == {x for x in plain if x[0] >= scanner.least}
+
+
+def test_licence_texts_inside_other_texts():
+    """Whole texts, with a copyright line, broken lines, comment signs, and prose before and behind."""
+    scanner = licenses.Scanner()
+    prose = "the quick brown fox jumps over the lazy dog while nobody in this town looks up from the morning paper "
+    for name, text in licenses.TEMPLATES:
+        if len(text.split()) < 60:
+            continue
+        words = text.split()
+        broken = "\n".join("# " + " ".join(words[k : k + 11]) for k in range(0, len(words), 11))
+        assert scanner.text(f"Copyright (c) 2020 Jane Doe\n\n{broken}\n\nimport os")[0] == name
+        assert scanner.text(prose * 5 + text + " " + prose * 5)[0] == name
+    assert scanner.text("Photos by Jane Doe. Licensed under CC BY 4.0. All names changed.")[:2] == ("CC-BY-4.0", 1.0)
+    assert scanner.text(prose * 40) == (None, 0.0, 0)
+
+
+def test_equal_scores_go_to_the_first_name():
+    templates = (("b", "one two three four"), ("a", "one two three five"))
+    assert licenses.Scanner(templates, 0.5).text("one two three") == ("a", 0.8, 1)
 
 
 def repeats_by_hand(text):
