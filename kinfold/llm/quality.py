@@ -2,12 +2,15 @@ r"""Quality rules whose cutoffs carry a guarantee, in DataFrame operations only.
 
 Base rules: a document fails with fewer than `min_words` words, or with more than `max_repeat_percent` of its words in
 5-word windows that the text holds twice or more.  Each further rule rejects a document whose ratio lies above a cutoff.
-Cutoffs come from labelled documents, the holdout, for each stratum (lang): a candidate counts as safe if, were its
-false rejection rate (good documents above the cutoff) `max_false_rejection / rules` or more, as few rejections as were
-seen would have a probability of at most `confidence_miss / (strata * rules * candidates)`, by the exact binomial
-distribution.  So with probability 1 - confidence_miss no stratum loses more than max_false_rejection of its good
-documents through all rules together (Bonferroni over every test made).  The strictest safe candidate holds; a rule
-without one rejects nothing in that stratum.
+Cutoffs come in levels from loose to strict, one cutoff for each rule a level, and are chosen from labelled documents, the
+holdout, for each stratum (lang).  A level is safe if, were its false rejection rate (good documents that any rule rejects)
+`max_false_rejection` or more, as few rejections as were seen would have a probability of at most the stratum's share of
+`confidence_miss`, by the exact binomial distribution.  What a level rejects, the stricter ones reject too: levels are
+tested in the fixed order from loose to strict up to the first that isn't safe, which needs no correction for their
+number.  Strata are corrected for by weighted Bonferroni, each with a share by its number of good documents.  So with
+probability 1 - confidence_miss no stratum loses more than max_false_rejection of its good documents through all rules
+together.  The last safe level holds; without one no rule rejects anything in that stratum.  With the defaults a stratum
+that holds half of the good documents needs 183 of them, one that holds a tenth 263.
 
 Words are runs of anything but U+0020 and U+0009..U+000D.  Cases: a null text has no words and fails the base rules;
 a null lang is a stratum of its own; of labels given twice for a doc_id the lower quality counts; null labels and labels
@@ -18,6 +21,7 @@ columns are not read.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +29,7 @@ from pyspark.sql import Window
 
 from kinfold.llm.common import cut_lineage
 
-#: The ratios, and the candidate cutoffs of each.
+#: The ratios, and the cutoffs of each from the strictest level to the loosest.
 RULES: dict[str, tuple[str, tuple[float, ...]]] = {
     "symbols": ("n_symbols / greatest(word_chars, 1)", (0.01, 0.02, 0.04, 0.08, 0.12, 0.2, 0.3, 0.5)),
     "lines": ("n_dup_lines / greatest(n_lines, 1)", (0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.7)),
@@ -33,6 +37,7 @@ RULES: dict[str, tuple[str, tuple[float, ...]]] = {
     "shouts": ("n_shouts / greatest(word_chars, 1)", (0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.7)),
 }
 
+LEVELS = 8
 #: Cutoffs of at most this many strata are broadcast.
 MOST_STRATA_SENT = 10_000
 
@@ -103,22 +108,23 @@ def _ratio(rule: str) -> Column:
 
 
 def safe_cutoffs(measured: DataFrame, labels: DataFrame, options: QualityOptions = QualityOptions()) -> DataFrame:
-    """Rows (stratum, cut_<rule>...): each rule's strictest safe cutoff, or null."""
+    """Rows (stratum, cut_<rule>...): the cutoffs of the strictest safe level, or nulls."""
     good = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality")).where("quality = 1")
     holdout = measured.join(good.select("doc_id"), "doc_id", "left_semi").withColumn("stratum", _stratum(F.col("lang")))
-    tests = [(rule, c) for rule, (_, cutoffs) in RULES.items() for c in cutoffs]
-    seen = holdout.groupBy("stratum").agg(F.count("*").alias("n"), *(F.sum((_ratio(r) > c).cast("long")).alias(f"{r}_{k}") for k, (r, c) in enumerate(tests)))
+    rejected = lambda level: reduce(lambda a, b: a | b, (_ratio(rule) > cutoffs[level] for rule, (_, cutoffs) in RULES.items()))
+    seen = holdout.groupBy("stratum").agg(F.count("*").alias("n"), *(F.sum(rejected(k).cast("long")).alias(f"level_{k}") for k in range(LEVELS)))
     strata = cut_lineage(seen)
-    rate = options.max_false_rejection / len(RULES)
+    rate = options.max_false_rejection
     # ln P(X = k) by its ratios to P(X = k - 1); the largest k whose P(X <= k) is small enough lies below the mean
-    tests_made = strata.count() * len(tests)
+    total = strata.agg(F.sum("n")).first()[0] or 1
     terms = strata.select("stratum", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") * rate))).alias("k"))
     upto = Window.partitionBy("stratum").orderBy("k")
     step = F.when(F.col("k") == 0, F.col("n") * F.log(F.lit(1 - rate))).otherwise(F.log((F.col("n") - F.col("k") + 1) / F.col("k") * (rate / (1 - rate))))
     tail = terms.withColumn("ln_p", F.sum(step).over(upto)).withColumn("tail", F.sum(F.exp("ln_p")).over(upto))
-    most = tail.where(F.col("tail") <= options.confidence_miss / max(tests_made, 1)).groupBy("stratum").agg(F.max("k").alias("most"))
+    most = tail.where(F.col("tail") <= options.confidence_miss * F.col("n") / total).groupBy("stratum").agg(F.max("k").alias("most"))
     found = strata.join(most, "stratum", "left")
-    cut = lambda rule: F.array_min(F.array_compact(F.array(*(F.when(F.col(f"{r}_{k}") <= F.col("most"), F.lit(c)) for k, (r, c) in enumerate(tests) if r == rule))))
+    # rejections grow towards level 0: all levels from the first within the bound on are safe
+    cut = lambda rule: F.coalesce(*(F.when(F.col(f"level_{k}") <= F.col("most"), F.lit(c)) for k, c in enumerate(RULES[rule][1])))
     return found.select("stratum", *(cut(rule).alias(f"cut_{rule}") for rule in RULES))
 
 

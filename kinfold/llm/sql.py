@@ -7,10 +7,9 @@ from kinfold.llm import licenses, quality
 
 def _quality() -> str:
     o = quality.QualityOptions()
-    tests = [(rule, c) for rule, (_, cutoffs) in quality.RULES.items() for c in cutoffs]
-    rate = o.max_false_rejection / len(quality.RULES)
-    counts = ", ".join(f"count(*) FILTER (({quality.RULES[r][0]}) > {c}) AS {r}_{k}" for k, (r, c) in enumerate(tests))
-    cuts = ", ".join(f"least({', '.join(f'CASE WHEN {r}_{k} <= most THEN {c} END' for k, (r, c) in enumerate(tests) if r == rule)}) AS cut_{rule}" for rule in quality.RULES)
+    rate = o.max_false_rejection
+    counts = ", ".join(f"count(*) FILTER ({' OR '.join(f'({ratio}) > {cutoffs[k]}' for ratio, cutoffs in quality.RULES.values())}) AS level_{k}" for k in range(quality.LEVELS))
+    cuts = ", ".join(f"CASE {' '.join(f'WHEN level_{k} <= most THEN {c}' for k, c in enumerate(cutoffs))} END AS cut_{rule}" for rule, (_, cutoffs) in quality.RULES.items())
     above = " OR ".join(f"coalesce(({quality.RULES[rule][0]}) > cut_{rule}, false)" for rule in quality.RULES)
     base = f"(n_words < {o.min_words} OR 100 * n_repeat_words > {o.max_repeat_percent} * n_words)"
     return rf"""
@@ -41,9 +40,9 @@ WITH d AS (
 ), t AS (
   SELECT stratum, n, unnest(range(0, ceil(n * {rate})::BIGINT + 1)) AS k FROM s
 ), p AS (
-  SELECT stratum, k, sum(exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * ln({rate}) + (n - k) * ln(1 - {rate}))) OVER (PARTITION BY stratum ORDER BY k) AS tail FROM t
+  SELECT stratum, n, k, sum(exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * ln({rate}) + (n - k) * ln(1 - {rate}))) OVER (PARTITION BY stratum ORDER BY k) AS tail FROM t
 ), b AS (
-  SELECT stratum, max(k) AS most FROM p WHERE tail <= {o.confidence_miss} / ((SELECT count(*) FROM s) * {len(tests)}) GROUP BY stratum
+  SELECT stratum, max(k) AS most FROM p WHERE tail <= {o.confidence_miss} * n / (SELECT sum(n) FROM s) GROUP BY stratum
 ), cut AS (
   SELECT stratum, {cuts} FROM s LEFT JOIN b USING (stratum)
 )

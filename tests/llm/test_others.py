@@ -186,15 +186,28 @@ def test_cutoffs_are_safe_and_the_next_is_not(spark):
     n = 300
     measured = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("en").alias("lang"), F.lit(1000).cast("long").alias("n_words"), F.lit(1000).cast("long").alias("word_chars"), F.col("id").alias("n_symbols"), F.lit(10).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_dup_lines"), F.lit(0).cast("long").alias("n_shouts"), F.lit(0).cast("long").alias("n_repeat_words"))
     labels = measured.select("doc_id", F.lit(1).alias("quality"))
-    options = QualityOptions(max_false_rejection=0.8)
+    options = QualityOptions(max_false_rejection=0.2)
     cut = quality.safe_cutoffs(measured, labels, options).first().cut_symbols
-    tests = sum(len(c) for _, c in quality.RULES.values())
-    safe = [c for c in quality.RULES["symbols"][1] if binomial_tail(n, sum(i / 1000 > c for i in range(n)), Fraction(1, 5)) <= 0.05 / tests]
-    assert cut == min(safe)
+    safe = [c for c in quality.RULES["symbols"][1] if binomial_tail(n, sum(i / 1000 > c for i in range(n)), Fraction(1, 5)) <= 0.05]
+    assert cut == min(safe) and len(safe) < quality.LEVELS
+    assert all(len(c) == quality.LEVELS and list(c) == sorted(c) for _, c in quality.RULES.values())
     few = quality.safe_cutoffs(measured.limit(20), labels, QualityOptions()).first()
     assert few.cut_symbols is None
 
 
+def test_strata_share_the_error_by_size_and_rules_are_judged_together(spark):
+    """Of 600 good documents in one stratum and 200 in another some are above two rules' cutoffs, partly the same ones."""
+    rows = [("a", i, int(40 * (i % 60 == 0)), int(5 * (i % 50 == 0))) for i in range(600)] + [("b", 1000 + i, int(90 * (i == 7)), 0) for i in range(200)]
+    measured = spark.createDataFrame([(i, lang, 1000, 1000, s, 10, d, 0, 0) for lang, i, s, d in rows], "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, n_shouts long, n_repeat_words long")
+    found = {r.stratum: r for r in quality.safe_cutoffs(measured, measured.select("doc_id", F.lit(1).alias("quality")), QualityOptions(max_false_rejection=0.06)).collect()}
+    for lang in "ab":
+        own = [r for r in rows if r[0] == lang]
+        levels = list(zip(quality.RULES["symbols"][1], quality.RULES["lines"][1], strict=True))
+        rejected = [sum(s / 1000 > x or d / 10 > y for _, _, s, d in own) for x, y in levels]
+        safe = [k for k, n in enumerate(rejected) if binomial_tail(len(own), n, Fraction(6, 100)) <= 0.05 * len(own) / 800]
+        assert (found[f"={lang}"].cut_symbols, found[f"={lang}"].cut_lines) == levels[min(safe)]
+
+
 def test_judge_without_labels_or_rows(spark):
     docs = spark.createDataFrame([(1, "one two", "en"), (2, "a b c d e f g h i j k", None), (None, None, "en"), (1, "x " * 30, "en")], "doc_id long, text string, lang string")
     labels = spark.createDataFrame([(None, 1), (1, None)], "doc_id long, quality int")
