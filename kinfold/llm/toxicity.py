@@ -124,18 +124,19 @@ def paired_terms(y: np.ndarray, terms: list[np.ndarray], often: np.ndarray, leas
     """Those of the terms `often` that are in a pair which tells more of the label than both its terms and than no term."""
     n, share = len(y), y.mean()
     size = np.array([len(own) for own in terms])
-    bucket, doc = np.concatenate(terms).astype(np.int64), np.repeat(np.arange(n), size)
-    index = np.full(1 << HASH_BITS, -1)
+    doc = np.repeat(np.arange(n, dtype=np.int32), size)
+    index = np.full(1 << HASH_BITS, -1, np.int32)
     index[often] = np.arange(len(often))
-    some = index[bucket] >= 0
-    column, doc = index[bucket[some]], doc[some]
+    column = index[np.concatenate(terms)]
+    some = column >= 0
+    column, doc = column[some], doc[some]
     # terms of the same documents (a word and its prefixes) are one column; marks are random, two of 62 bits for each document
     marks = np.random.default_rng(0).integers(0, 1 << 62, (2, n))
     sums = [np.zeros(len(often), np.int64) for _ in marks]
     for total, mark in zip(sums, marks, strict=True):
         np.add.at(total, column, mark[doc])
     _, first, same = np.unique(np.stack(sums, 1), axis=0, return_index=True, return_inverse=True)
-    same = same.ravel()
+    same = same.ravel().astype(np.int32)
     keep = first[same[column]] == column
     column, doc = same[column[keep]], doc[keep]
     seen, toxic = np.bincount(column, minlength=len(first)), np.bincount(column, y[doc], len(first))
