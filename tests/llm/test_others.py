@@ -47,6 +47,38 @@ def test_top_k_of_few(spark):
     assert kdtree.top_k(two, F.col("vec_id") % 50 == 0).count() == 1
 
 
+@pytest.mark.parametrize("growth,box_rows", [(2, 3), (4, 1024)])
+def test_top_k_in_turns(spark, growth, box_rows):
+    """Many shards, regions and turns, and a third of all vectors equal."""
+    rnd = random.Random(growth)
+    rows = [(i, [1.0, 0.5, -2.0] if i % 3 == 0 else [rnd.gauss(4 * (i % 4), 1) for _ in range(3)]) for i in range(600)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    options = SearchOptions(shard_rows=25, leaf_rows=4, query_block=4, sample_rows=120, box_rows=box_rows, turn_growth=growth)
+    found = kdtree.top_k(df, F.col("vec_id") % 50 == 0, options)
+    assert Counter((r.query_id, r["rank"], r.vec_id, r.score) for r in found.collect()) == top_by_hand(rows, 5)
+
+
+def test_regions_part_all_rows():
+    rng = np.random.default_rng(1)
+    sample = rng.integers(-9, 9, (200, 3))
+    sample[:120] = 4
+    regions = kdtree.Regions(sample, 4)
+    assert len(set(regions.of(sample).tolist())) > 4 and regions.of(sample).max() < 16
+    assert len(set(kdtree.Regions(np.full((50, 2), 7), 3).of(np.full((9, 2), 7)).tolist())) == 1
+
+
+def test_large_components(spark):
+    """Exact as long as scores fit 64 bits, and an error beyond, not a wrong score."""
+    rnd = random.Random(5)
+    rows = [(i, [float(rnd.randint(-6_000_000, 6_000_000)) for _ in range(3)]) for i in range(120)]
+    schema = "vec_id long, embedding array<double>"
+    found = kdtree.top_k(spark.createDataFrame(rows, schema), F.col("vec_id") % 50 == 0, SearchOptions(shard_rows=20, leaf_rows=3))
+    assert Counter((r.query_id, r["rank"], r.vec_id, r.score) for r in found.collect()) == top_by_hand(rows, 5)
+    for large in (3e7, 1e30, 1e308):
+        with pytest.raises(OverflowError):
+            kdtree.top_k(spark.createDataFrame([*rows, (999, [large, 0.0, 0.0])], schema), F.col("vec_id") % 50 == 0)
+
+
 def test_boxes_bound_and_prune():
     rng = np.random.default_rng(3)
     vectors = rng.integers(-300, 300, (500, 4))
