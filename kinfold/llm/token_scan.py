@@ -21,14 +21,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from kinfold.llm.common import Words, cut_lineage, text_runs, utf8_buffer
+from kinfold.llm.common import Words, cut_lineage, new_shared_folder, remove_folder, text_runs, utf8_buffer
 
-#: The end-of-document id of the files that `flat_blocks` makes.
+#: The end-of-document id of the files that `write_flat_files` makes.
 END = 0xFFFFFFFF
 BLOCK_TOKENS = 1 << 16
-#: Records of a flat file should have this many ids; files of at most WHOLE_BYTES may be read whole instead.
-LEAST_RECORD = 1024
+#: Files of at most this many bytes are read whole.
 WHOLE_BYTES = 1 << 26
+#: Runs of texts in a file that `write_flat_files` makes: about 20 MB of ids.
+FILE_RUNS = 16
 #: Texts are taken in runs of about this many bytes; a longer text is a run of its own.
 RUN_BYTES = 1 << 21
 #: Chunks of a file's blocks whose sums make up the prefix scan's upper level.
@@ -36,32 +37,31 @@ SCAN_WIDTH = 4096
 
 
 def read_flat_files(spark: SparkSession, path: str, token_bytes: int = 4, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """Flat files as rows (file, block, payload); path may name several files.
+    """Flat files as rows (file, block, payload); path may name several files, or a folder.
 
-    A file is cut into equal records of at most block_tokens ids, which Spark reads by many tasks.  A file whose length
-    allows no records of a useful size is read whole if it has WHOLE_BYTES at most, and by small records beyond.
+    All files of WHOLE_BYTES at most are read by one scan, and cut into blocks of block_tokens ids.  A larger one is cut
+    into equal records of at most block_tokens ids, which Spark reads by many tasks; such a file is a scan of its own.
     """
-    parts = spark.createDataFrame([], "file string, block long, payload binary")
-    for row in spark.read.format("binaryFile").load(path).select("path", "length").toLocalIterator():  # no content
-        if row.length % token_bytes:
-            raise ValueError(f"{row.path} is no whole number of ids long")
-        if row.length:
-            parts = parts.unionByName(_read_one(spark, row.path, row.length // token_bytes, token_bytes, block_tokens))
+    listed = spark.read.format("binaryFile").load(path)
+    sizes = listed.select("path", "length")  # no content
+    for row in sizes.where(F.col("length") % token_bytes != 0).take(1):
+        raise ValueError(f"{row.path} is no whole number of ids long")
+
+    def cut(batches):
+        for batch in batches:
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                raw = memoryview(content.as_buffer())
+                for k, a in enumerate(range(0, len(raw), block_tokens * token_bytes)):
+                    yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([k], pa.int64()), pa.array([bytes(raw[a : a + block_tokens * token_bytes])], pa.binary())], ["file", "block", "payload"])
+
+    parts = listed.where(F.col("length") <= WHOLE_BYTES).select("path", "content").mapInArrow(cut, "file string, block long, payload binary")
+    for row in sizes.where(F.col("length") > WHOLE_BYTES).toLocalIterator():
+        parts = parts.unionByName(_read_records(spark, row.path, row.length // token_bytes, token_bytes, block_tokens))
     return parts
 
 
-def _read_one(spark: SparkSession, path: str, n_tokens: int, token_bytes: int, block_tokens: int) -> DataFrame:
+def _read_records(spark: SparkSession, path: str, n_tokens: int, token_bytes: int, block_tokens: int) -> DataFrame:
     record = max(d for d in range(1, min(block_tokens, n_tokens) + 1) if n_tokens % d == 0)
-    if record < LEAST_RECORD and n_tokens * token_bytes <= WHOLE_BYTES:
-
-        def cut(batches):
-            for batch in batches:
-                for name, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                    raw = memoryview(content.as_buffer())
-                    for k, a in enumerate(range(0, len(raw), block_tokens * token_bytes)):
-                        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([k], pa.int64()), pa.array([bytes(raw[a : a + block_tokens * token_bytes])], pa.binary())], ["file", "block", "payload"])
-
-        return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(cut, "file string, block long, payload binary")
 
     def numbered(part: int, records):
         return ((path, (part << 33) + k, bytes(r)) for k, r in enumerate(records))
@@ -70,40 +70,29 @@ def _read_one(spark: SparkSession, path: str, n_tokens: int, token_bytes: int, b
     return spark.createDataFrame(records.mapPartitionsWithIndex(numbered), "file string, block long, payload binary")
 
 
-def flat_blocks(docs: DataFrame, text_col: str = "text", block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """Each partition of docs as the blocks of one flat file of hashed words: rows (file, block, payload).
+def write_flat_files(docs: DataFrame, folder: str, text_col: str = "text") -> None:
+    """The texts as flat files of hashed words, several for each partition of docs, in the order of its rows.
 
-    A word's id is the low 32 bits of its XXH3 hash; END is kept for the ends of documents.
+    A word's id is the low 32 bits of its XXH3 hash; END is kept for the ends of documents.  A row that goes to the sink is
+    a run of documents without its last END, which the sink writes as its line separator.  The sink is Spark's own, so
+    that a task that is lost and run again leaves no half of a file.
     """
 
     def work(batches):
-        held, block, file = [], 0, None
-        size = 0
         for batch in (part for whole in batches for part in text_runs(whole, 0, RUN_BYTES)):
-            file = batch.column(1)[0].as_py() >> 33 if file is None else file
             data, offsets = utf8_buffer(batch.column(0))
             words = Words(data, offsets)
             raw, digest = memoryview(words.data.tobytes()), xxhash.xxh3_64_intdigest
             ids = np.fromiter((digest(raw[a:b]) & END for a, b in zip(words.starts.tolist(), words.ends.tolist(), strict=True)), np.uint32, len(words.starts))
             ids[ids == END] = 0
-            held.append(np.insert(ids, words.first + words.counts, END))
-            size += len(held[-1])
-            if size >= block_tokens:
-                stream = np.concatenate(held)
-                for a in range(0, size - block_tokens + 1, block_tokens):
-                    yield _block(file, block, stream[a : a + block_tokens])
-                    block += 1
-                size %= block_tokens
-                held = [stream[len(stream) - size :].copy()]
-        if size:
-            yield _block(file, block, np.concatenate(held))
-
-    rows = docs.select(F.col(text_col).cast("string").alias("text"), F.monotonically_increasing_id().alias("row"))
-    return rows.mapInArrow(work, "file string, block long, payload binary")
-
+            stream = np.insert(ids, words.first + words.counts, END)
+            yield pa.RecordBatch.from_arrays([pa.array([stream[:-1].astype("<u4").tobytes()], pa.binary())], ["ids"])
 
-def _block(file: int, block: int, ids: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([str(file)]), pa.array([block], pa.int64()), pa.array([ids.astype("<u4").tobytes()], pa.binary())], ["file", "block", "payload"])
+    runs = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(work, "ids binary")
+    sink = runs.select(F.col("ids").cast("string").alias("value")).write.mode("overwrite").option("compression", "none")
+    # in Latin-1 a character is the byte of its number
+    end = END.to_bytes(4, "little").decode("latin-1")
+    sink.option("maxRecordsPerFile", FILE_RUNS).option("encoding", "ISO-8859-1").option("lineSep", end).text(folder)
 
 
 def scan_blocks(blocks: DataFrame, end_id: int = END, token_bytes: int = 4) -> DataFrame:
@@ -161,12 +150,22 @@ def document_lengths(scanned: DataFrame) -> DataFrame:
 
 
 def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (doc_id, n_tokens): the texts written as flat blocks, counted by the scan, matched to their rows by order.
+    """Rows (doc_id, n_tokens): the texts written as flat files, counted by the scan, matched to their rows by order.
 
-    docs must be read from files or a checkpoint, whose rows keep their order from one reading to the next.
+    docs must be read from files or a checkpoint, whose rows keep their order from one reading to the next.  The files lie in
+    the shared folder and are removed after the scan.  Should a partition not hold as many rows as its files hold
+    documents, the result raises, so that no row is lost unseen.
     """
-    # the texts are read once; what the scan keeps of a block is small
-    found = document_lengths(cut_lineage(scan_blocks(flat_blocks(docs, text_col))))
+    spark = docs.sparkSession
+    folder = new_shared_folder(spark)
+    write_flat_files(docs, folder, text_col)
+    # the sink names its files by partition and place; a partition's files are one after the other in one run of blocks
+    name = r"part-(\d+)-[^/]*-c(\d+)\.[a-z]+$"
+    part, place = (F.regexp_extract("file", name, k).cast("long") for k in (1, 2))
+    blocks = read_flat_files(spark, folder).select(part.cast("string").alias("file"), (F.shiftleft(place, 40) + F.col("block")).alias("block"), "payload")
+    found = document_lengths(cut_lineage(scan_blocks(blocks)))  # what the scan keeps of a block is small
+    remove_folder(spark, folder)
     row = F.monotonically_increasing_id()
-    named = docs.select(F.col(id_col).alias("doc_id"), F.shiftright(row, 33).cast("string").alias("file"), row.bitwiseAND(F.lit((1 << 33) - 1)).alias("ordinal"))
-    return named.join(found, ["file", "ordinal"]).select("doc_id", "n_tokens")
+    named = docs.select(F.col(id_col).alias("doc_id"), F.shiftright(row, 33).cast("string").alias("file"), row.bitwiseAND(F.lit((1 << 33) - 1)).alias("ordinal"), F.lit(True).alias("named"))
+    counted = F.when(F.col("named").isNull() | F.col("n_tokens").isNull(), F.raise_error(F.lit("the rows changed between two readings")).cast("long")).otherwise(F.col("n_tokens"))
+    return named.join(found, ["file", "ordinal"], "full").select("doc_id", counted.alias("n_tokens"))

@@ -141,6 +141,30 @@ def test_token_counts(spark, tmp_path):
     assert token_scan.token_counts(spark.read.parquet(str(tmp_path / "d")).limit(0)).count() == 0
 
 
+def test_flat_files_of_texts(spark, tmp_path, monkeypatch):
+    """Files hold nothing but ids, whatever their bytes; documents of many files of a partition are found by place."""
+    monkeypatch.setattr(token_scan, "RUN_BYTES", 40)
+    monkeypatch.setattr(token_scan, "FILE_RUNS", 3)
+    rnd = random.Random(4)
+    rows = [(k, rnd.choice([None, "", " "]) if k % 9 == 0 else " ".join(rnd.choice("abcdefgh") * 3 for _ in range(rnd.randint(1, 30)))) for k in range(400)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    token_scan.write_flat_files(docs, str(tmp_path / "flat"))
+    files = [f.read_bytes() for f in (tmp_path / "flat").glob("part-*")]
+    ids = [np.frombuffer(f, "<u4") for f in files]
+    assert len(files) > 20 and all(len(f) % 4 == 0 and i[-1] == token_scan.END for f, i in zip(files, ids, strict=True))
+    assert sum(len(i) for i in ids) == sum(len((t or "").split()) + 1 for _, t in rows)
+    assert Counter(map(tuple, token_scan.token_counts(docs).collect())) == Counter((d, len((t or "").split())) for d, t in rows)
+
+
+def test_changed_rows_raise(spark, tmp_path, monkeypatch):
+    spark.range(5).selectExpr("id AS doc_id", "'a b' AS text").coalesce(1).write.parquet(str(tmp_path / "d"))
+    write = token_scan.write_flat_files
+    monkeypatch.setattr(token_scan, "write_flat_files", lambda docs, *rest: write(docs.where("doc_id < 4"), *rest))
+    with pytest.raises(Exception, match="changed between"):
+        token_scan.token_counts(spark.read.parquet(str(tmp_path / "d"))).collect()
+
+
 def test_licenses(spark):
     rows = [
         (1, "Some text.\nReleased under the MIT License.\nMore."),
