@@ -53,6 +53,7 @@ def suffix_ranks(keys: np.ndarray, covers: int, left: np.ndarray, depth: int) ->
     rank = np.empty(n, np.int64)
     rank[order] = np.repeat(first, sizes)
     open_ = order[np.repeat(sizes > 1, sizes)]
+    del order, first, sizes
     while covers < depth:
         open_ = open_[left[open_] > 0]
         if not len(open_):
@@ -61,6 +62,7 @@ def suffix_ranks(keys: np.ndarray, covers: int, left: np.ndarray, depth: int) ->
         pair = rank[open_] * (n + 2) + behind
         order = np.argsort(pair, kind="stable")
         at, pair = open_[order], pair[order]
+        del order, behind, open_
         old = rank[at]
         new_old = np.concatenate([[True], old[1:] != old[:-1]])
         new = np.concatenate([[True], pair[1:] != pair[:-1]])
@@ -68,6 +70,7 @@ def suffix_ranks(keys: np.ndarray, covers: int, left: np.ndarray, depth: int) ->
         base = np.maximum.accumulate(np.where(new_old, places, 0))
         start = np.maximum.accumulate(np.where(new, places, 0))
         rank[at] = old + start - base
+        del old, start, base, new_old, pair, places
         sizes = np.diff(np.append(np.flatnonzero(new), len(at)))
         # equal ones that have ended stay equal
         open_ = at[np.repeat(sizes > 1, sizes) & (left[at] > covers)]
@@ -91,6 +94,7 @@ class Parse:
         raw, known = data.tobytes(), {}
         number = lambda a, b, last: known.setdefault((raw[a:b],) if last else raw[a:b], len(known))
         self.phrase = np.array([number(*x) for x in zip(begin.tolist(), end.tolist(), is_last.tolist(), strict=True)], np.int64)
+        del raw, known, number  # what the suffix arrays need comes beside no phrase's bytes
         # the dictionary: where each distinct phrase stands first is where its bytes are read
         _, one = np.unique(self.phrase, return_index=True)
         sizes = end[one] - begin[one]
@@ -101,7 +105,9 @@ class Parse:
         keys = np.zeros(len(symbols), np.int64)
         for k in range(FIRST):
             keys = keys << 9 | np.where(left > k, symbols[np.minimum(np.arange(len(symbols)) + k, len(symbols) - 1)], 0)
+        del place, symbols
         self.dictionary = suffix_ranks(keys, FIRST, left, depth)
+        del keys
         # the parse, by ranks of phrases; a text's last phrase ends its sequence
         last = np.flatnonzero(is_last)
         left = np.repeat(last, np.diff(np.concatenate([[-1], last]))) - np.arange(len(begin)) + 1
