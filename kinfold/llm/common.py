@@ -19,6 +19,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def settle(df: DataFrame) -> DataFrame:
+    """cut_lineage; then what the shuffles before it wrote is deleted, as Spark does when the JVM collects garbage."""
+    df = cut_lineage(df)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return df
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

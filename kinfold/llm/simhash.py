@@ -149,6 +149,21 @@ def anchors(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(which), np.concatenate(found)
 
 
+def block_anchors(block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The code words within 4 of each 23-bit point: index of the point, and code word."""
+    global _TABLES
+    if _TABLES is None:
+        _TABLES = _golay_tables()
+    light, heavy, many = _TABLES
+    s = _syndrome(block)
+    which, found = [np.arange(len(block))], [block ^ light[s]]
+    for k in range(5):
+        some = np.flatnonzero(many[s] > k)
+        which.append(some)
+        found.append(block[some] ^ heavy[s[some], k])
+    return np.concatenate(which), np.concatenate(found)
+
+
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Edges (node, root) that connect what the links (a, b) connect."""
     nodes, inverse = np.unique(np.concatenate([a, b]), return_inverse=True)
