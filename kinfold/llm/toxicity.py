@@ -11,7 +11,7 @@ pair whose documents' labels differ from those of all documents and of either te
 pair_evidence or more; all pairs are counted).
 
 The model is fitted on a bounded sample of the labelled documents: at most `sample_per_class` of each label, those with
-the smallest hash of doc_id.  Scores cover every whole text.  Labels, lang, source and doc_id are never inputs.
+the smallest hash of doc_id.  One task of an executor fits it; the driver only gets the machine.  Scores cover every whole text.  Labels, lang, source and doc_id are never inputs.
 
 Cases: a null or empty text has no terms and gets the base score; labels that are null count as unlabelled; of labels
 given twice the highest counts; without labels of both kinds every score is the share of toxic labels (0 without any).
@@ -86,8 +86,8 @@ def is_held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def _sample(docs: DataFrame, labels: DataFrame, options: FitOptions) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Labels and term buckets of the bounded sample."""
+def _sample(docs: DataFrame, labels: DataFrame, options: FitOptions) -> DataFrame:
+    """Rows (doc_id, toxic, terms), labels and term buckets of the bounded sample."""
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~is_held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     picked = None
     for label in (0, 1):
@@ -102,14 +102,25 @@ def _sample(docs: DataFrame, labels: DataFrame, options: FitOptions) -> tuple[np
     # at most two times sample_per_class rows are broadcast
     joined = docs.join(F.broadcast(picked), "doc_id").select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    rows = joined.mapInArrow(work, f"doc_id {id_type}, toxic int, terms binary").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("terms").alias("terms")).toArrow()
-    rows = rows.sort_by("doc_id").to_pydict()
-    return np.array(rows["toxic"], np.float64), [np.frombuffer(t, "<u4") for t in rows["terms"]]
+    return joined.mapInArrow(work, f"doc_id {id_type}, toxic int, terms binary").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("terms").alias("terms"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, options: FitOptions = FitOptions()) -> Machine:
     """docs (doc_id, text), labels (doc_id, toxic): the machine for their bounded sample."""
-    return fit_rows(*_sample(docs, labels, options), options)
+
+    def learn(table: pa.Table) -> pa.Table:
+        rows = table.sort_by("doc_id").select(["toxic", "terms"]).to_pydict()
+        machine = fit_rows(np.array(rows["toxic"], np.float64), [np.frombuffer(t, "<u4") for t in rows["terms"]], options)
+        del rows
+        give_back()
+        arrays = (machine.terms.astype("<i8"), machine.weights.astype("<f8"), machine.factors.astype("<f8"))
+        return pa.table({"bias": pa.array([float(machine.bias)]), **{name: pa.array([x.tobytes()], pa.binary()) for name, x in zip(("terms", "weights", "factors"), arrays, strict=True)}})
+
+    found = _sample(docs, labels, options).groupBy(F.lit(0).alias("all")).applyInArrow(learn, "bias double, terms binary, weights binary, factors binary").collect()
+    if not found:
+        return fit_rows(np.zeros(0), [], options)
+    bias, terms, weights, factors = found[0]
+    return Machine(np.frombuffer(terms, "<i8"), bias, np.frombuffer(weights, "<f8"), np.frombuffer(factors, "<f8").reshape(-1, options.factors))
 
 
 def _evidence(toxic: np.ndarray, seen: np.ndarray, share: np.ndarray | float) -> np.ndarray:

@@ -1,3 +1,4 @@
+import os
 import random
 import zlib
 
@@ -91,3 +92,21 @@ def test_a_pair_of_terms_without_a_signal_of_their_own():
     assert {10, 20} <= at.keys() and not set(range(100, 500)) <= at.keys()
     score = lambda *t: machine.scores(np.array([at[x] for x in t]), np.zeros(len(t), int), 1)[0]
     assert score(10, 20) > 0.5 > max(score(10), score(20))
+
+
+def test_the_driver_does_not_fit(spark, monkeypatch):
+    """Its memory doesn't hold the pairs of the sample's terms."""
+    driver, fit_rows = os.getpid(), toxicity.fit_rows
+
+    def elsewhere(y, terms, options):
+        assert os.getpid() != driver
+        return fit_rows(y, terms, options)
+
+    rows, labels = corpus(200)
+    docs, truth = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    learned = [i for i, _ in labels if zlib.crc32(str(i).encode()) % 5]
+    terms = [np.unique(np.array([b for w in toxicity.text_words(rows[i][1]) for b in toxicity.word_buckets(w)], "<u4")) for i in learned]
+    expected = fit_rows(np.array([labels[i][1] for i in learned], np.float64), terms, FitOptions())
+    monkeypatch.setattr(toxicity, "fit_rows", elsewhere)
+    machine = toxicity.fit(docs, truth)
+    assert machine.bias == expected.bias and all(np.array_equal(getattr(machine, k), getattr(expected, k)) for k in ("terms", "weights", "factors"))
