@@ -22,6 +22,8 @@ FINAL_1, FINAL_2 = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 CHUNK = 1 << 18
 #: Bytes of a suffix that make up its first key: 9 bits each, 0 stands for the end of the text.
 FIRST = 7
+#: Last bytes of two windows that are compared before the whole windows.
+LAST = 4
 
 
 def trigger_ends(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -47,34 +49,39 @@ def suffix_ranks(keys: np.ndarray, covers: int, left: np.ndarray, depth: int) ->
     Doubles what is compared in every round, and sorts only what isn't told apart yet.
     """
     n = len(keys)
-    order = np.argsort(keys, kind="stable")
-    first = np.flatnonzero(np.concatenate([[True], keys[order][1:] != keys[order][:-1]])) if n else np.zeros(0, np.int64)
-    sizes = np.diff(np.append(first, n))
-    rank = np.empty(n, np.int64)
-    rank[order] = np.repeat(first, sizes)
-    open_ = order[np.repeat(sizes > 1, sizes)]
-    del order, first, sizes
-    while covers < depth:
-        open_ = open_[left[open_] > 0]
-        if not len(open_):
-            break
+    kind = np.int32 if n < 2**31 - 2 else np.int64
+    order = np.argsort(keys)  # equal keys get one rank, so that their order doesn't matter
+    keys = keys[order]
+    order = order.astype(kind)
+    new = np.ones(n + 1, bool)
+    np.not_equal(keys[1:], keys[:-1], out=new[1:n])
+    del keys
+    rank = np.empty(n, kind)
+    rank[order] = np.maximum.accumulate(np.where(new[:n], np.arange(n, dtype=kind), 0))
+    # shorter suffixes than what is covered are told apart; longer ones are if no neighbour has their key
+    open_ = order[~(new[:n] & new[1:])]
+    open_ = open_[left[open_] >= covers]
+    del order, new
+    while covers < depth and len(open_):
         behind = np.where(left[open_] > covers, rank[np.minimum(open_ + covers, n - 1)] + 1, 0)
-        pair = rank[open_] * (n + 2) + behind
-        order = np.argsort(pair, kind="stable")
+        pair = rank[open_].astype(np.int64) * (n + 2) + behind
+        order = np.argsort(pair)
         at, pair = open_[order], pair[order]
         del order, behind, open_
+        new = np.ones(len(at) + 1, bool)
+        np.not_equal(pair[1:], pair[:-1], out=new[1:-1])
+        del pair
         old = rank[at]
-        new_old = np.concatenate([[True], old[1:] != old[:-1]])
-        new = np.concatenate([[True], pair[1:] != pair[:-1]])
-        places = np.arange(len(at))
+        new_old = np.ones(len(at), bool)
+        np.not_equal(old[1:], old[:-1], out=new_old[1:])
+        places = np.arange(len(at), dtype=kind)
         base = np.maximum.accumulate(np.where(new_old, places, 0))
-        start = np.maximum.accumulate(np.where(new, places, 0))
+        start = np.maximum.accumulate(np.where(new[:-1], places, 0))
         rank[at] = old + start - base
-        del old, start, base, new_old, pair, places
-        sizes = np.diff(np.append(np.flatnonzero(new), len(at)))
-        # equal ones that have ended stay equal
-        open_ = at[np.repeat(sizes > 1, sizes) & (left[at] > covers)]
+        del old, start, base, new_old, places
         covers *= 2
+        open_ = at[~(new[:-1] & new[1:])]
+        open_ = open_[left[open_] >= covers]
     return rank
 
 
@@ -91,20 +98,24 @@ class Parse:
         end = np.concatenate([ends, offsets[texts + 1]])[order]
         is_last = order >= len(ends)
         self.begin, self.end, self.is_last = begin, end, is_last
-        raw, known = data.tobytes(), {}
-        number = lambda a, b, last: known.setdefault((raw[a:b],) if last else raw[a:b], len(known))
-        self.phrase = np.array([number(*x) for x in zip(begin.tolist(), end.tolist(), is_last.tolist(), strict=True)], np.int64)
-        del raw, known, number  # what the suffix arrays need comes beside no phrase's bytes
+        raw = data.tobytes()
+        names = [raw[a:b] for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
+        for k in np.flatnonzero(is_last).tolist():
+            names[k] = (names[k],)
+        known = {name: k for k, name in enumerate(dict.fromkeys(names))}
+        self.phrase = np.fromiter(map(known.__getitem__, names), np.int64, len(names))
+        del raw, known, names  # what the suffix arrays need comes beside no phrase's bytes
         # the dictionary: where each distinct phrase stands first is where its bytes are read
         _, one = np.unique(self.phrase, return_index=True)
         sizes = end[one] - begin[one]
         self.at = np.cumsum(sizes) - sizes
         place = np.arange(int(sizes.sum())) - np.repeat(self.at, sizes)
-        symbols = data[np.repeat(begin[one], sizes) + place].astype(np.int64) + 1
+        symbols = np.concatenate([data[np.repeat(begin[one], sizes) + place].astype(np.int64) + 1, np.zeros(FIRST, np.int64)])
         left = np.repeat(sizes, sizes) - place
-        keys = np.zeros(len(symbols), np.int64)
+        keys = np.zeros(len(left), np.int64)
         for k in range(FIRST):
-            keys = keys << 9 | np.where(left > k, symbols[np.minimum(np.arange(len(symbols)) + k, len(symbols) - 1)], 0)
+            keys <<= 9
+            keys |= symbols[k : k + len(keys)] * (left > k)
         del place, symbols
         self.dictionary = suffix_ranks(keys, FIRST, left, depth)
         del keys
@@ -118,9 +129,11 @@ class Parse:
         own = np.searchsorted(self.begin, places, "right") - 1
         inside = self.dictionary[self.at[self.phrase[own]] + places - self.begin[own]]
         behind = np.where(self.is_last[own], -1, self.parse[np.minimum(own + 1, len(self.begin) - 1)])
-        order = np.lexsort((behind, inside))
-        same = np.concatenate([[False], (inside[order][1:] == inside[order][:-1]) & (behind[order][1:] == behind[order][:-1])])
-        return order, same
+        # ranks are below the numbers of symbols and of phrases, whose product is far below 2 ** 63
+        both = inside.astype(np.int64) * (len(self.begin) + 1) + behind + 1
+        order = np.argsort(both)
+        both = both[order]
+        return order, np.concatenate([[False], both[1:] == both[:-1]])
 
     def classes(self, places: np.ndarray, window: int) -> np.ndarray:
         """A number for each place, equal for equal next `window` bytes, which no text may end within: neighbours in
@@ -131,6 +144,9 @@ class Parse:
         at = places[order]
         wide = np.lib.stride_tricks.sliding_window_view(self.data, window)
         unsure = np.flatnonzero(~same)[1:]
+        # most neighbours that aren't equal differ in their windows' last bytes
+        for back in range(1, min(window, LAST) + 1):
+            unsure = unsure[self.data[at[unsure] + window - back] == self.data[at[unsure - 1] + window - back]]
         for lo in range(0, len(unsure), CHUNK // window + 1):
             some = unsure[lo : lo + CHUNK // window + 1]
             same[some] = (wide[at[some]] == wide[at[some - 1]]).all(1)

@@ -186,3 +186,39 @@ def test_queries(spark, sf_dir):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
     assert Counter(map(tuple, entry.queries()["op1_suffix_dedup"](spark, sf_dir).collect())) == bytes_by_hand(rows, 200)
     assert Counter(map(tuple, entry.queries()["op6_phrase_dedup"](spark, sf_dir).collect())) == words_by_hand(rows, 20)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_suffix_ranks_where_strings_end_at_each_length(seed):
+    """Ends of strings at, before and behind what a round covers, few symbols, many equal strings."""
+    rng = np.random.default_rng(seed)
+    sizes = rng.integers(1, 40, 60)
+    strings = [rng.integers(1, 3, n).tolist() for n in sizes]
+    strings += [strings[k][: rng.integers(1, len(strings[k]) + 1)] for k in range(60)]
+    suffixes = [s[k:] for s in strings for k in range(len(s))]
+    left = np.array([len(s) for s in suffixes])
+    for covers in (1, 2, 7):
+        padded = [(s + [0] * covers)[:covers] for s in suffixes]
+        keys = np.array([sum(x << 9 * (covers - 1 - k) for k, x in enumerate(p)) for p in padded])
+        ordered = sorted(suffixes)
+        first = {}
+        for k, s in enumerate(ordered):
+            first.setdefault(tuple(s), k)
+        assert prefix_free.suffix_ranks(keys, covers, left, 64).tolist() == [first[tuple(s)] for s in suffixes]
+
+
+def test_ranks_of_a_large_bucket_do_not_overflow(monkeypatch):
+    """The product of the numbers of symbols and phrases passes 32 bits; most neighbours differ only before their last bytes."""
+    monkeypatch.setattr(prefix_free, "MODULUS", 4)
+    rng = np.random.default_rng(2)
+    pool = rng.integers(97, 101, (40, 64)).astype(np.uint8)
+    data = pool[rng.integers(0, 40, 6000)].ravel()
+    offsets = np.arange(0, len(data) + 1, 192)
+    places = np.concatenate([np.arange(a, a + 92) for a in offsets[:-1]])
+    parse = prefix_free.Parse(data, offsets, 101)
+    assert parse.dictionary.dtype == np.int32  # half the memory of the sort that took most of the time
+    parse.dictionary += np.int32(2**31 - 1 - parse.dictionary.max())
+    found = parse.classes(places, 101)
+    texts = [data[k : k + 101].tobytes() for k in places.tolist()]
+    known = {}
+    assert len(set(zip(found.tolist(), (known.setdefault(t, len(known)) for t in texts), strict=True))) == len(known) == found.max() + 1
